@@ -1,3 +1,3 @@
 """Imports every query module so that all queries are registered."""
 
-from costlens.plans import record_queries  # noqa: F401
+from costlens.plans import clean_queries, join_queries, record_queries  # noqa: F401
