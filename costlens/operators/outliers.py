@@ -49,16 +49,21 @@ def iqr_bounds(df: DataFrame, groups: Sequence[str], target: str, k: float = C.I
 
 def treat_outliers(df: DataFrame, groups: Sequence[str], target: str, mode: str = C.WINSORISE_MODE,
                    k: float = C.IQR_MULTIPLIER, probs: Sequence[float] = (0.25, 0.75),
-                   approx: bool = False, keep_bounds: bool = False) -> DataFrame:
+                   approx: bool = False, keep_bounds: bool = False,
+                   prepare_bounds=None) -> DataFrame:
     """Remove or cap ``target`` outside the per-group IQR fences (inclusive).
 
     Rows with a null group key are dropped in every mode. Modes: ``none``
     drops both tails; ``upper`` caps high values and drops low ones;
     ``lower`` caps low values and drops high ones; ``both`` caps both tails;
-    any other text leaves the rows unchanged.
+    any other text leaves the rows unchanged. ``prepare_bounds`` may wrap the
+    one-row-per-group statistics before the join (e.g. a size-checked
+    broadcast).
     """
     df = df.na.drop(how="any", subset=list(groups))
     bounds = iqr_bounds(df, groups, target, k, probs, approx)
+    if prepare_bounds is not None:
+        bounds = prepare_bounds(bounds)
     j = df.join(bounds, on=list(groups), how="inner")
     t, lo, hi = F.col(target), F.col("lower_bound"), F.col("upper_bound")
     if mode == "none":

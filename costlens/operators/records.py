@@ -77,6 +77,27 @@ def mode_per_key(df: DataFrame, key: str, value: str, out: str = "mode_value") -
                   .agg(F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias(out)))
 
 
+def first_and_mode(df: DataFrame, key: str, date: str, ties: Sequence[str], value: str,
+                   first_columns: Sequence[str], mode_out: str = "mode_value") -> DataFrame:
+    """One row per key with the first record's ``first_columns`` (by ``date``,
+    nulls last, then ``ties``) and the most common non-null ``value``.
+
+    One scan, two aggregates: per (key, value) a count and the earliest
+    record, then per key the mode and the earliest of those records. Both
+    combine map-side.
+    """
+    order = F.struct(F.col(date).isNull().cast("int").alias("_nd"), F.col(date).alias("_d"),
+                     *[F.col(t).alias(f"_t{i}") for i, t in enumerate(ties)])
+    payload = F.struct(*[F.col(c).alias(c) for c in first_columns])
+    lvl1 = df.groupBy(key, value).agg(
+        F.count(F.col(value)).alias("_n"),
+        F.min(F.struct(order.alias("_o"), payload.alias("_p"))).alias("_m"))
+    ranked = F.when(F.col(value).isNotNull(), F.struct(-F.col("_n"), F.col(value)))
+    lvl2 = lvl1.groupBy(key).agg(F.min_by(F.col(value), ranked).alias(mode_out),
+                                 F.min(F.col("_m")).alias("_m"))
+    return lvl2.select(key, *[F.col(f"_m._p.{c}").alias(c) for c in first_columns], mode_out)
+
+
 def asof_record(df: DataFrame, key: str, event_date: str, record_date: str,
                 ties: Sequence[str] = ()) -> DataFrame:
     """Per key the latest record dated on or before the event; if none, the
@@ -130,9 +151,8 @@ def fill_category(df: DataFrame, key: str, date: str, value: str, transaction_co
     original values is used. Both per-key facts come from one key-grouped
     table, joined back once.
     """
-    first = first_record(df, key, date, ties, columns=[transaction_col])
-    per_key = (first.select(key, false_if_null(F.col(transaction_col) == F.lit(new_value)).alias("_new"))
-                    .join(mode_per_key(df, key, value, "_mode"), on=key, how="left"))
+    facts = first_and_mode(df, key, date, ties, value, [transaction_col], "_mode")
+    per_key = facts.select(key, false_if_null(F.col(transaction_col) == F.lit(new_value)).alias("_new"), "_mode")
     joined = df.join(per_key, on=key, how="left")
     filled = F.when(F.col("_new"), F.lit(fill_value)).otherwise(F.coalesce(F.col(value), F.col("_mode")))
     return joined.withColumn(value, filled).drop("_new", "_mode").select(*df.columns)

@@ -5,12 +5,15 @@ null-out -> age-band fill -> new-unit exclusion -> relevance filter ->
 range bounds + outlier treatment -> price-index adjustment -> as-of record
 choice -> location join -> days since start -> one-hot features.
 
-Shuffle plan: the first-record and mode facts are two key-grouped
-aggregates joined into one per-key table and joined back once; the outlier
-statistics are a small per-group aggregate joined back (broadcast at run
-time by adaptive execution); the as-of choice is a map-side-combined
-``min_by`` aggregate on the key; the index and location lookups are
-planner-chosen joins.
+Shuffle plan: the first-record and mode facts come from one scan and two
+map-side-combined aggregates, joined back to the rows once (a sort-merge
+join on the key; adaptive execution splits a hot key). The filtered rows
+are then checkpointed (lineage cut, partitioning on the key kept). The
+outlier statistics (one row per group) and the price factors (one row per
+quarter) are broadcast after a row-count check, so the rows are not
+shuffled by the few-valued group key. The as-of choice is a ``min_by``
+aggregate on the key that reuses the key partitioning. The location lookup
+is a planner-chosen join.
 """
 
 from __future__ import annotations
@@ -27,18 +30,19 @@ from costlens.operators.clean import allow_list, bounds_filter, null_out_strings
 from costlens.operators.features import dummify
 from costlens.operators.indexation import adjust_costs
 from costlens.operators.outliers import treat_outliers
+from costlens.plans.materialise import broadcast_if_small, materialise
 
 
 def unit_facts(df: DataFrame, cfg: C.CleanConfig) -> DataFrame:
     """One row per key: is it a new unit, must it be dropped, its most common age band."""
     c = cfg.cols
-    first = R.first_record(df, c.key, c.record_date, c.ties,
-                           columns=[c.event_date, c.record_date, c.transaction_type])
+    first = R.first_and_mode(df, c.key, c.record_date, c.ties, c.age_band,
+                             [c.event_date, c.record_date, c.transaction_type], "_mode")
     is_new = false_if_null(F.col(c.transaction_type) == F.lit(cfg.new_unit_transaction))
     gap = F.abs(F.datediff(F.col(c.event_date).cast("date"), F.col(c.record_date).cast("date")))
-    facts = first.select(c.key, is_new.alias("_new"),
-                         (is_new & false_if_null(gap < F.lit(cfg.new_unit_gap_days))).alias("_drop"))
-    return facts.join(R.mode_per_key(df, c.key, c.age_band, "_mode"), on=c.key, how="left")
+    return first.select(c.key, is_new.alias("_new"),
+                        (is_new & false_if_null(gap < F.lit(cfg.new_unit_gap_days))).alias("_drop"),
+                        "_mode")
 
 
 def fill_and_exclude(df: DataFrame, cfg: C.CleanConfig) -> DataFrame:
@@ -71,7 +75,8 @@ def exclusion_bounds(df: DataFrame, cfg: C.CleanConfig) -> DataFrame:
     if not cost_bounded:
         df = df.withColumn(c.rooms, cap_value(c.rooms, cfg.rooms_cap))
         df = treat_outliers(df, [c.property_type, c.age_band, c.rooms], c.cost, cfg.winsorise,
-                            approx=cfg.approx_quantiles)
+                            approx=cfg.approx_quantiles,
+                            prepare_bounds=broadcast_if_small if cfg.materialise else None)
     return bounds_filter(df, c.rooms, *cfg.rooms_bounds)
 
 
@@ -82,8 +87,14 @@ def units_before_features(records: DataFrame, price_factors: DataFrame | None,
     df = null_out_strings(records)
     df = fill_and_exclude(df, cfg)
     df = relevant_rows(df, c, cfg.tech_type, cfg.denied_install_types)
+    if cfg.materialise:
+        # Cut lineage once: the outlier statistics and the main flow both read
+        # these rows, and they stay partitioned by the key for the as-of step.
+        df = materialise(df)
     df = exclusion_bounds(df, cfg)
     if price_factors is not None:
+        if cfg.materialise:
+            price_factors = broadcast_if_small(price_factors)
         df = adjust_costs(df, price_factors, c.event_date, c.cost)
     return R.asof_record(df, c.key, c.event_date, c.record_date, c.ties)
 
