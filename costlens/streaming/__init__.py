@@ -1 +1,5 @@
-
+"""Streaming: the source has no streaming inputs, state or late data (every
+input is a whole file read once), so nothing here is built. Batch jobs in
+this package are plain DataFrame plans and can be applied to each
+micro-batch of a ``foreachBatch`` sink unchanged if inputs ever arrive as a
+stream."""
