@@ -169,7 +169,7 @@ def q_rule_table_estimate(spark, sf_dir):
 
 
 @query("date_weights", with_fixtures(f"""
-SELECT {ID_SQL}, CASE WHEN coalesce(event_date >= DATE '1996-01-01', false) THEN 2.0 ELSE 1.0 END AS weight FROM inst
+SELECT {ID_SQL}, CAST(CASE WHEN coalesce(event_date >= DATE '1996-01-01', false) THEN 2.0 ELSE 1.0 END AS DOUBLE) AS weight FROM inst
 """, "inst"))
 def q_date_weights(spark, sf_dir):
     """Sample weight 2 from a date on, else 1."""

@@ -147,8 +147,8 @@ f AS (SELECT fold, avg(abs(y - y_pred)) AS model_mae, avg(abs(y - constant_pred)
         1 - sum((y - y_pred) * (y - y_pred)) / (var_pop(y) * count(y)) AS model_r2,
         1 - sum((y - constant_pred) * (y - constant_pred)) / (var_pop(y) * count(y)) AS constant_r2
       FROM j GROUP BY fold)
-SELECT round(avg(model_mae), 2) AS model_mae, round(avg(constant_mae), 2) AS constant_mae,
-       round(avg(model_r2), 2) AS model_r2, round(avg(constant_r2), 2) AS constant_r2 FROM f
+SELECT round(avg(model_mae), 2) + 0.0 AS model_mae, round(avg(constant_mae), 2) + 0.0 AS constant_mae,
+       round(avg(model_r2), 2) + 0.0 AS model_r2, round(avg(constant_r2), 2) + 0.0 AS constant_r2 FROM f
 """, "preds"))
 def q_compare_models(spark, sf_dir):
     """Model vs constant (training-mean) baseline on test folds, mean over folds, 2 decimals."""
