@@ -149,3 +149,34 @@ def test_partition_independence(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert a == b
+
+
+def test_fixed_probability_fences(spark):
+    """A6: fences from given quantiles (5 % / 90 %) instead of quartiles."""
+    rows = [("a", float(v)) for v in range(1, 21)] + [("a", 1000.0)]
+    df = spark.createDataFrame(rows, "g string, y double")
+    out = treat_outliers(df, ["g"], "y", "none", probs=(0.05, 0.9))
+    assert out.count() == 21 - 1          # only 1000 falls outside q05 - 1.5 x (q90 - q05) .. q90 + 1.5 x (...)
+
+
+def test_outlier_step_only_without_cost_bounds(spark):
+    """C9: with a cost bound the outlier step (and its room cap) does not run."""
+    from costlens.plans.model_table import exclusion_bounds
+    cols = C.Columns()
+    rows = [(f"House", "1930-1949", 9.0, 100.0, float(c)) for c in [10, 11, 12, 13, 500]]
+    df = spark.createDataFrame(rows, f"{cols.property_type} string, {cols.age_band} string, {cols.rooms} double, "
+                                     f"{cols.floor_area} double, {cols.cost} double")
+    bounded = exclusion_bounds(df, C.CleanConfig(cost_bounds=(0.0, 1e6)))
+    assert sorted(r[cols.rooms] for r in bounded.collect()) == [9.0] * 5
+    treated = exclusion_bounds(df, C.CleanConfig())
+    got = sorted((r[cols.rooms], r[cols.cost]) for r in treated.collect())
+    assert all(r == 8.0 for r, _ in got) and max(c for _, c in got) < 500.0
+
+
+def test_model_table_has_no_null_features(spark):
+    """M3: imputation is a no-op by construction (rows missing a feature are dropped)."""
+    from costlens.plans.model_queries import FEATURES
+    from costlens.plans.model_table_queries import clean_model_table
+    df = clean_model_table(spark, "/root/testdata/sf0.001")
+    nulls = df.select(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in FEATURES]).first()
+    assert all(v == 0 for v in nulls)
