@@ -172,7 +172,8 @@ def fit_quantile_boost(df: DataFrame, features: list, label: str, alpha: float,
     Rows with a null label or feature are dropped. Leaf values use
     ``percentile_approx`` (the smallest value with at least ``alpha`` of the
     leaf at or below it, exact when the leaf has fewer rows than
-    ``leaf_accuracy``); the start value is the exact interpolated quantile.
+    ``leaf_accuracy``); the start value is the same kind of quantile of the
+    whole label column (accuracy 1e6).
     ``track_loss`` records the training pinball loss after each round (one
     extra pass per round).
     """
@@ -181,7 +182,9 @@ def fit_quantile_boost(df: DataFrame, features: list, label: str, alpha: float,
     clean = df.select(*[F.col(c).cast("double").alias(c) for c in features],
                       F.col(label).cast("double").alias("_y")).na.drop()
     vec = VectorAssembler(inputCols=list(features), outputCol="_x").transform(clean).select("_x", "_y")
-    init = float(vec.agg(F.percentile("_y", F.lit(alpha))).first()[0])
+    # Bounded-memory sketch: an exact whole-table percentile would merge every
+    # distinct label value in one task.
+    init = float(vec.agg(F.percentile_approx("_y", alpha, 1_000_000)).first()[0])
     cur = vec.withColumn("_pred", F.lit(init)).persist(StorageLevel.MEMORY_AND_DISK)
     model = QuantileBoostModel(list(features), alpha, init, learning_rate)
     pin = F.when(F.col("_y") >= F.col("_pred"), alpha * (F.col("_y") - F.col("_pred"))).otherwise(
