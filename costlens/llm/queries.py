@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from costlens.llm import decontaminate, sharding, url_filter, warc
+from costlens.llm import decontaminate, language, near_dup, quality, sharding, url_filter, warc
 from costlens.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -54,6 +55,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("spans")
 
 
+def fold(id_col: str, of: int):
+    """crc32 of the id as text, modulo ``of``; null for a null id."""
+    return F.crc32(F.col(id_col).cast("string")) % of
+
+
+def language_model(docs: DataFrame) -> language.LanguageModel:
+    return language.fit_language_model(docs, fold("doc_id", 3) != 1)
+
+
+@query("op3_language")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    out = language.predict_language(docs, language_model(docs))
+    return out.select(F.col("id").alias("doc_id"), F.coalesce(fold("id", 3) == 1, F.lit(False)).alias("held_out"),
+                      "lang_pred", "score", "cosine", "rejected")
+
+
 # The rules that the query is given.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -78,6 +97,28 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.fit_url_filter(pages, rules))
 
 
+OP6_SQL = r"""
+WITH RECURSIVE dw AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT u, v FROM pairs JOIN size x ON u = x.doc_id JOIN size y ON v = y.doc_id WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach(u, v) AS (SELECT doc_id, doc_id FROM dw UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+comp AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT dw.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, dw.doc_id = component_id AS kept
+FROM dw JOIN comp USING (doc_id) LEFT JOIN size USING (doc_id)
+"""
+
+
+@query("op6_minhash", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, links at a shingle similarity of 0.85."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 OP7_SQL = r"""
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
            FROM pages),
@@ -105,3 +146,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     out = sharding.assign_shards(docs, ["doc_id"], SHARDS, spread=["source", "n_chars"])
     return out.select("doc_id", "slot", "shard", "shard_name")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
+    return quality.fit_quality_model(docs, labels, fold("doc_id", 4) != 2)
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels of three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score_quality(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return out.select(F.col("id").alias("doc_id"), F.coalesce(fold("id", 4) == 2, F.lit(False)).alias("held_out"),
+                      "score", "predicted")
