@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +53,13 @@ def stash(df: DataFrame, name: str) -> DataFrame:
 def broadcast_small(stashed: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a stashed table for broadcast if a count shows at most ``max_rows`` narrow rows, else leave it."""
     return F.broadcast(stashed) if stashed.limit(max_rows + 1).count() <= max_rows else stashed
+
+
+def filter_by_text(df: DataFrame, text_col: str, keep: Callable[[list], np.ndarray]) -> DataFrame:
+    """The rows of ``df``, every column as it was, for whose texts ``keep`` (over a batch) is true."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(np.asarray(keep(b.column(text_col).to_pylist()), dtype=bool)))
+
+    return df.mapInArrow(run, df.schema)

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from costlens.llm.common import filter_by_text
+
 DIM = 8192
 CENTROIDS = 4
 # Labelled texts of a language that the model is fitted on, at most.
@@ -28,6 +30,7 @@ SAMPLE = 600
 SLACK = 0.5
 SHARPNESS = 25.0
 NO_LANGUAGE = "und"
+JUDGED = ["lang_pred", "score", "cosine", "rejected"]
 _CHUNK = 1 << 20
 _ALPHA: list[np.ndarray] = []
 
@@ -96,6 +99,25 @@ class LanguageModel:
         sims = x @ self.centroids.T
         return np.stack([sims[:, self.owner == i].max(axis=1) for i in range(len(self.languages))], axis=1)
 
+    def judge(self, texts: list) -> pd.DataFrame:
+        """lang_pred, score, cosine and rejected of each text."""
+        parts = [self._judge(texts[at:at + 256]) for at in range(0, len(texts), 256)]
+        return pd.concat(parts or [self._judge([])], ignore_index=True)
+
+    def _judge(self, texts: list) -> pd.DataFrame:
+        got = [gram_counts(t) for t in texts]
+        ok = np.array([c is not None for c in got], dtype=bool) & bool(self.languages)
+        lang = np.full(len(texts), NO_LANGUAGE, dtype=object)
+        score, cosine, rejected = np.zeros(len(texts)), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
+        if ok.any():
+            cos = self.cosines(self.vectors([c for c, k in zip(got, ok) if k]))
+            best = cos.argmax(axis=1)
+            top = cos[np.arange(len(best)), best]
+            lang[ok] = np.array(self.languages, dtype=object)[best]
+            score[ok] = 1 / np.exp(SHARPNESS * (cos - top[:, None])).sum(axis=1)
+            cosine[ok], rejected[ok] = top, top < self.radius[best]
+        return pd.DataFrame(dict(zip(JUDGED, (lang, score, cosine, rejected))))
+
 
 def _sample(rows: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` labelled rows of each language, chosen by a hash of id and text.
@@ -168,24 +190,15 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages * CENTROIDS * DIM floats
 
     def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = sent.value
         for f in frames:
-            for at in range(0, len(f), 256):
-                part = f.iloc[at:at + 256]
-                got = [gram_counts(t) for t in part["text"]]
-                ok = np.array([c is not None for c in got]) & bool(m.languages)
-                lang = np.full(len(part), NO_LANGUAGE, dtype=object)
-                score, cosine, rejected = np.zeros(len(part)), np.zeros(len(part)), np.ones(len(part), dtype=bool)
-                if ok.any():
-                    cos = m.cosines(m.vectors([c for c, k in zip(got, ok) if k]))
-                    best = cos.argmax(axis=1)
-                    top = cos[np.arange(len(best)), best]
-                    lang[ok] = np.array(m.languages, dtype=object)[best]
-                    score[ok] = 1 / np.exp(SHARPNESS * (cos - top[:, None])).sum(axis=1)
-                    cosine[ok], rejected[ok] = top, top < m.radius[best]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "lang_pred": lang, "score": score,
-                                    "cosine": cosine, "rejected": rejected})
+            yield sent.value.judge(f["text"].tolist()).assign(id=f["id"].to_numpy())[["id", *JUDGED]]
 
     cols = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = cols.schema["id"].dataType.simpleString()
     return cols.mapInPandas(predict, f"id {kind}, lang_pred string, score double, cosine double, rejected boolean")
+
+
+def drop_unidentified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is not rejected."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_by_text(docs, text_col, lambda texts: ~sent.value.judge(texts)["rejected"].to_numpy())

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from costlens.llm.common import filter_by_text
 from costlens.llm.shingles import _SPACE, CHUNK, word_hashes
 
 # Rows of each kind (positive, unlabelled, labelled) that the model is fitted on, at most.
@@ -114,6 +115,10 @@ class QualityModel:
         shift = np.log(DECISION / (1 - DECISION)) - self.cut
         return 1 / (1 + np.exp(-np.clip(self.raw(x) + shift, -30, 30)))
 
+    def judge(self, texts: list) -> np.ndarray:
+        """Score of each text."""
+        return self.score(np.array([features(t) for t in texts], dtype=np.float64).reshape(-1, N_FEATURES))
+
 
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -222,10 +227,15 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            x = np.array([features(t) for t in f["text"]], dtype=np.float64).reshape(-1, N_FEATURES)
-            s = sent.value.score(x)
+            s = sent.value.judge(f["text"].tolist())
             yield pd.DataFrame({"id": f["id"], "score": s, "predicted": (s >= DECISION).astype(np.int32)})
 
     cols = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = cols.schema["id"].dataType.simpleString()
     return cols.mapInPandas(run, f"id {kind}, score double, predicted int")
+
+
+def drop_low_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least the decision."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_by_text(docs, text_col, lambda texts: sent.value.judge(texts) >= DECISION)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.llm import decontaminate, language, near_dup, quality, sharding, url_filter, warc
+from costlens.llm import decontaminate, language, near_dup, packing, quality, sharding, url_filter, warc
 from costlens.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -55,6 +55,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("spans")
 
 
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 2,048 tokens that hold no source or exact copy twice."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def fold(id_col: str, of: int):
     """crc32 of the id as text, modulo ``of``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % of
