@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.llm import decontaminate, language, near_dup, packing, quality, sharding, url_filter, warc
+from costlens.llm import decontaminate, embedding_dup, language, near_dup, packing, quality, sharding, url_filter, warc
 from costlens.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -154,6 +154,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "slot", "shard", "shard_name")
 
 
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+sound AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id
+         AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(u, v) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+comp AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u),
+n AS (SELECT u AS vec_id, count(*) AS n_links FROM link GROUP BY u)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+@query("op9_embedding", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding, compared within its label at a cosine of 0.98."""
+    return embedding_dup.near_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
     return quality.fit_quality_model(docs, labels, fold("doc_id", 4) != 2)
 

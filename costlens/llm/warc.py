@@ -241,7 +241,9 @@ def read_warc(manifest: DataFrame) -> DataFrame:
                     if held:
                         yield _frame(held)
 
-    return manifest.select("path", "folder").repartition(F.col("path")).mapInPandas(read, RECORDS)
+    files = manifest.select("path", "folder")
+    # A fixed number of partitions, as adaptive execution would put these few small rows into one task.
+    return files.repartitionByRange(max(1, files.count()), "path").mapInPandas(read, RECORDS)
 
 
 def _frame(held: list[dict]) -> pd.DataFrame:
