@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.llm import decontaminate, embedding_dup, language, near_dup, packing, quality, sharding, url_filter, warc
+from costlens.llm import decontaminate, embedding_dup, html_extract, language, near_dup, packing, quality, sharding, url_filter, warc
 from costlens.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -79,6 +79,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "lang_pred", "score", "cosine", "rejected")
 
 
+@query("op4_html")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract_text(pages, html_extract.fit_labeller(pages))
+
+
 # The rules that the query is given.
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
