@@ -13,6 +13,7 @@ corpus's pages that mark their article themselves.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -318,8 +319,17 @@ def marked_labels(page: list[Block]) -> np.ndarray | None:
 def fit_labeller(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE, composed: int = COMPOSED) -> Labeller:
     """Train on ``sample`` pages at most of the table (of at most SAMPLE_CHARS characters) and ``composed`` made-up ones."""
     rows = pages.select(F.col(html_col).alias("html")).where(F.length("html").between(1, SAMPLE_CHARS))
-    rows = [r[0] for r in rows.orderBy(F.xxhash64("html")).limit(sample).collect()]
-    seen = [blocks(r) for r in rows]
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = _fit([blocks(h) for f in frames for h in f["html"]], composed)
+        yield pd.DataFrame({"weights": [pickle.dumps(model.weights)]})
+
+    # One task, over the bounded sample, as the training is one loop.
+    drawn = rows.orderBy(F.xxhash64("html")).limit(sample).coalesce(1)
+    return Labeller(pickle.loads(drawn.mapInPandas(fit, "weights binary").first()[0]))
+
+
+def _fit(seen: list[list[Block]], composed: int) -> Labeller:
     texts = [b.text for p in seen for b in p if len(b.text) > 40]
     x, y = [], []
     for p in seen:
