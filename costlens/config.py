@@ -164,6 +164,5 @@ class CleanConfig:
     winsorise: str = WINSORISE_MODE
     min_date: str = MIN_DATE
     rooms_cap: int = ROOMS_CAP
-    approx_quantiles: bool = False
     # Checkpoint filtered rows and size-check small sides before broadcasting.
     materialise: bool = True

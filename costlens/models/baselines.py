@@ -13,15 +13,15 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.operators.metrics import error_metric_columns
+from costlens.operators.metrics import error_metrics
 
 
 def assembled(df: DataFrame, features: list, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
 def point_model(features: list, label: str, weight_col: str | None = None, max_iter: int = 500,
-                max_depth: int = 5, min_instances: int = 64, seed: int = 0) -> Pipeline:
+                max_depth: int = 3, min_instances: int = 64, seed: int = 0) -> Pipeline:
     """Boosted trees with absolute loss and sqrt feature sampling (the point model)."""
     gbt = GBTRegressor(featuresCol="features", labelCol=label, lossType="absolute", maxIter=max_iter,
                        maxDepth=max_depth, minInstancesPerNode=min_instances, featureSubsetStrategy="sqrt",
@@ -29,7 +29,7 @@ def point_model(features: list, label: str, weight_col: str | None = None, max_i
     if weight_col:
         gbt.setWeightCol(weight_col)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                            handleInvalid="skip"), gbt])
+                                            handleInvalid="error"), gbt])
 
 
 def baseline_estimators(label: str, seed: int = 42, n_trees: int = 20) -> dict:
@@ -53,9 +53,8 @@ def evaluate_baselines(train: DataFrame, test: DataFrame, features: list, label:
     for name, est in estimators.items():
         model = est.fit(tr)
         for split, part in (("train", tr), ("test", te)):
-            m = model.transform(part).agg(*error_metric_columns(label, "prediction")[:3],
-                                          F.count(F.lit(1)).cast("bigint").alias("n"))
-            m = m.select(F.lit(name).alias("model"), F.lit(split).alias("split"), "*")
+            m = error_metrics(model.transform(part), label, "prediction").select(
+                F.lit(name).alias("model"), F.lit(split).alias("split"), "r2", "mae", "mdae", "n")
             out = m if out is None else out.unionByName(m)
     return out
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.functions.expressions import col
+from costlens.operators.quantiles import exact_quantiles
 
 
 def yearly_stats(df: DataFrame, date: str, value: str, key: str) -> DataFrame:
@@ -38,8 +39,8 @@ def column_totals(df: DataFrame, columns: Sequence[str], name: str = "feature")
 def gap_stats(df: DataFrame, later: str, earlier: str) -> DataFrame:
     """Median, mean and max of the day gap ``later - earlier``."""
     gap = F.datediff(F.col(later).cast("date"), F.col(earlier).cast("date")).cast("double")
-    return df.agg(F.percentile(gap, F.lit(0.5)).alias("median_days"), F.avg(gap).alias("mean_days"),
-                  F.max(gap).alias("max_days"))
+    rest = df.agg(F.avg(gap).alias("mean_days"), F.max(gap).alias("max_days"))
+    return exact_quantiles(df, [], gap, [0.5]).crossJoin(F.broadcast(rest)).withColumnRenamed("q0", "median_days")
 
 
 def correlations(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
@@ -92,17 +93,15 @@ def histogram_range(df: DataFrame, value: str, n_bins: int = 30) -> DataFrame:
 def median_by_flag(df: DataFrame, value: str, flags: Sequence[str]) -> DataFrame:
     """Median of ``value`` for rows of each 0/1 flag, next to the overall median."""
     long = df.unpivot([value], list(flags), "feature", "_f").filter(F.col("_f") == 1)
-    per = long.groupBy("feature").agg(F.percentile(value, F.lit(0.5)).alias(f"median_{value}"))
-    overall = df.agg(F.percentile(value, F.lit(0.5)).alias(f"overall_median_{value}"))
+    per = exact_quantiles(long, ["feature"], value, [0.5]).withColumnRenamed("q0", f"median_{value}")
+    overall = exact_quantiles(df, [], value, [0.5]).withColumnRenamed("q0", f"overall_median_{value}")
     return per.crossJoin(F.broadcast(overall))
 
 
 def percentile_bounds(df: DataFrame, columns: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Low and high percentiles (linear interpolation, nulls ignored) per column, as rows."""
-    aggs = [F.percentile(F.col(c).cast("double"), F.array(F.lit(lo), F.lit(hi))).alias(c) for c in columns]
-    one = df.agg(*aggs)
-    return (one.unpivot([], list(columns), "feature", "_p")
-               .select("feature", F.col("_p")[0].alias("p_low"), F.col("_p")[1].alias("p_high")))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "_v")
+    return exact_quantiles(long, ["feature"], "_v", [lo, hi]).withColumnsRenamed({"q0": "p_low", "q1": "p_high"})
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -124,8 +123,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], k: float = 1.5) -> D
     """Box-plot numbers per group: quartiles, whiskers (furthest points within
     k x IQR of the box) and outlier count. Quartiles are a small per-group table
     joined back, then one more grouped aggregate."""
-    q = df.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    q = q.select(*by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(df, by, value, [0.25, 0.5, 0.75]).toDF(*by, "q1", "median", "q3")
     v = F.col(value)
     j = df.join(q, on=list(by), how="inner")
     lo = F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))
@@ -145,11 +143,11 @@ def normal_grid(probs: Sequence[float]) -> list[tuple[float, float]]:
 def qq_points(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
     """Sample quantiles of ``value`` on a probability grid against normal quantiles.
 
-    The sample side is one aggregate (exact percentiles at the grid); the
-    theoretical side is a literal table of len(probs) rows.
+    The sample side is the exact quantiles at the grid; the theoretical side is a literal table of len(probs) rows.
     """
     grid = normal_grid(probs)
-    one = df.agg(F.percentile(F.col(value), F.array(*[F.lit(p) for p, _ in grid])).alias("_q"))
+    one = exact_quantiles(df, [], value, [p for p, _ in grid])
+    one = one.select(F.array(*one.columns).alias("_q"))
     theo = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(z).alias("theoretical")) for p, z in grid])
     return (one.select(F.posexplode(theo).alias("_i", "_t"), "_q")
                .select(F.col("_t.p").alias("p"), F.col("_t.theoretical").alias("theoretical"),

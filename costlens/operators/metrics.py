@@ -1,9 +1,8 @@
 """Interval and error metrics as grouped aggregates (one pass each).
 
 Every metric is an aggregate expression, so a metric over any grouping
-(fold, split, feature) is one ``groupBy`` with map-side combine. Medians use
-exact ``percentile`` (``approx=True`` -> ``percentile_approx``). Metrics over
-an empty subset are null.
+(fold, split, feature) is one ``groupBy`` with map-side combine. Medians are
+exact (see ``quantiles``). Metrics over an empty subset are null.
 """
 
 from __future__ import annotations
@@ -15,10 +14,7 @@ from pyspark.sql import functions as F
 
 from costlens import config as C
 from costlens.functions.expressions import col, pinball
-
-
-def _median(c: Column, approx: bool) -> Column:
-    return F.percentile_approx(c, 0.5, 100_000) if approx else F.percentile(c, F.lit(0.5))
+from costlens.operators.quantiles import exact_quantiles, same_groups
 
 
 def _agg(df: DataFrame, by: Sequence[str], aggs: list[Column]) -> DataFrame:
@@ -66,37 +62,43 @@ def floor_metrics(df: DataFrame, lo: str, hi: str, floor: float = C.FLOOR_PRICE,
     ])
 
 
-def error_metric_columns(y, p, approx: bool = False, prefix: str = "") -> list[Column]:
+def r2(y, p) -> Column:
+    """1 - residual sum of squares / total sum of squares, as an aggregate."""
+    y, p = col(y), col(p)
+    return F.lit(1.0) - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))
+
+
+def error_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
     """R2, MAE, median absolute error, over/under-prediction shares (%), and
     MAE / median error within over- and under-predictions (strict)."""
     y, p = col(y), col(p)
     err = F.abs(y - p)
     over, under = p > y, p < y
-    ss_res = F.sum((y - p) * (y - p))
-    ss_tot = F.var_pop(y) * F.count(y)
-    return [
-        (F.lit(1.0) - F.try_divide(ss_res, ss_tot)).alias(f"{prefix}r2"),
-        F.avg(err).alias(f"{prefix}mae"),
-        _median(err, approx).alias(f"{prefix}mdae"),
-        (F.avg(over.cast("double")) * 100.0).alias(f"{prefix}pct_over"),
-        F.avg(F.when(over, err)).alias(f"{prefix}mae_over"),
-        _median(F.when(over, err), approx).alias(f"{prefix}mdae_over"),
-        (F.avg(under.cast("double")) * 100.0).alias(f"{prefix}pct_under"),
-        F.avg(F.when(under, err)).alias(f"{prefix}mae_under"),
-        _median(F.when(under, err), approx).alias(f"{prefix}mdae_under"),
-    ]
-
-
-def error_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
-    return _agg(df, by, error_metric_columns(y, p, approx) + [F.count(F.lit(1)).cast("bigint").alias("n")])
+    means = _agg(df, by, [
+        r2(y, p).alias("r2"),
+        F.avg(err).alias("mae"),
+        (F.avg(over.cast("double")) * 100.0).alias("pct_over"),
+        F.avg(F.when(over, err)).alias("mae_over"),
+        (F.avg(under.cast("double")) * 100.0).alias("pct_under"),
+        F.avg(F.when(under, err)).alias("mae_under"),
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+    ])
+    # The three medians as one: every row stands among all errors and among those of its side.
+    side = F.when(over, "mdae_over").when(under, "mdae_under")
+    long = df.select(*by, err.alias("_err"), F.explode(F.array(F.lit("mdae"), side)).alias("_kind")).where("_kind is not null")
+    medians = exact_quantiles(long, [*by, "_kind"], "_err", [0.5])
+    medians = _agg(medians, by, [F.max(F.when(F.col("_kind") == k, F.col("q0"))).alias(k)
+                                 for k in ("mdae", "mdae_over", "mdae_under")])
+    return same_groups(means, medians, by, "left").select(
+        *by, "r2", "mae", "mdae", "pct_over", "mae_over", "mdae_over", "pct_under", "mae_under", "mdae_under", "n")
 
 
 def error_metrics_after(df: DataFrame, y: str, p: str, date: str, after: str,
-                        by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+                        by: Sequence[str] = ()) -> DataFrame:
     """Error metrics over rows dated on/after ``after`` plus the share of such rows."""
     is_after = F.coalesce(col(date) >= F.to_date(F.lit(after)), F.lit(False))
     share = _agg(df, by, [F.avg(is_after.cast("double")).alias("share_after")])
-    m = error_metrics(df.filter(is_after), y, p, by, approx)
+    m = error_metrics(df.filter(is_after), y, p, by)
     if not by:
         return share.crossJoin(m)
     return share.join(m, on=list(by), how="left")
@@ -110,10 +112,10 @@ def unpivot_dummies(df: DataFrame, dummies: Sequence[str], keep: Sequence[str],
 
 
 def error_metrics_by_dummy(df: DataFrame, y: str, p: str, dummies: Sequence[str],
-                           by: Sequence[str] = (), approx: bool = False) -> DataFrame:
+                           by: Sequence[str] = ()) -> DataFrame:
     """Error metrics for the rows of each dummy feature, in one grouped aggregate."""
     long = unpivot_dummies(df, dummies, [y, p, *by])
-    return error_metrics(long, y, p, ["feature", *by], approx)
+    return error_metrics(long, y, p, ["feature", *by])
 
 
 def mean_over(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), decimals: int | None = None):

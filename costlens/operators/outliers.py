@@ -15,32 +15,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens import config as C
+from costlens.operators.quantiles import exact_quantiles
 
 WINSORISE_MODES = ("none", "upper", "lower", "both")
 
 
 def group_quantiles(df: DataFrame, groups: Sequence[str], target: str,
-                    probs: Sequence[float] = (0.25, 0.75), approx: bool = False,
-                    accuracy: int = 100_000) -> DataFrame:
+                    probs: Sequence[float] = (0.25, 0.75)) -> DataFrame:
     """Per group the ``probs`` quantiles of ``target`` as columns ``q0, q1, ...``.
 
-    Exact quantiles interpolate linearly between order statistics (like
-    pandas and DuckDB ``quantile_cont``); ``approx=True`` uses the bounded
-    memory sketch ``percentile_approx`` for very large groups.
+    Exact, with linear interpolation between order statistics (like pandas
+    and DuckDB ``quantile_cont``), whatever the size of a group.
     """
-    probs = [float(p) for p in probs]
-    if approx:
-        agg = F.percentile_approx(F.col(target), probs, accuracy)
-    else:
-        agg = F.percentile(F.col(target), F.array(*[F.lit(p) for p in probs]))
-    out = df.groupBy(*groups).agg(agg.alias("_q"))
-    return out.select(*groups, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    return exact_quantiles(df, groups, target, probs)
 
 
 def iqr_bounds(df: DataFrame, groups: Sequence[str], target: str, k: float = C.IQR_MULTIPLIER,
-               probs: Sequence[float] = (0.25, 0.75), approx: bool = False) -> DataFrame:
+               probs: Sequence[float] = (0.25, 0.75)) -> DataFrame:
     """Per group ``lower_bound = Q1 - k*IQR`` and ``upper_bound = Q3 + k*IQR``."""
-    q = group_quantiles(df, groups, target, probs, approx)
+    q = group_quantiles(df, groups, target, probs)
     iqr = F.col("q1") - F.col("q0")
     return q.select(*groups, F.col("q0").alias("q_low"), F.col("q1").alias("q_high"),
                     (F.col("q0") - F.lit(k) * iqr).alias("lower_bound"),
@@ -49,7 +42,7 @@ def iqr_bounds(df: DataFrame, groups: Sequence[str], target: str, k: float = C.I
 
 def treat_outliers(df: DataFrame, groups: Sequence[str], target: str, mode: str = C.WINSORISE_MODE,
                    k: float = C.IQR_MULTIPLIER, probs: Sequence[float] = (0.25, 0.75),
-                   approx: bool = False, keep_bounds: bool = False,
+                   keep_bounds: bool = False,
                    prepare_bounds=None) -> DataFrame:
     """Remove or cap ``target`` outside the per-group IQR fences (inclusive).
 
@@ -61,7 +54,7 @@ def treat_outliers(df: DataFrame, groups: Sequence[str], target: str, mode: str
     broadcast).
     """
     df = df.na.drop(how="any", subset=list(groups))
-    bounds = iqr_bounds(df, groups, target, k, probs, approx)
+    bounds = iqr_bounds(df, groups, target, k, probs)
     if prepare_bounds is not None:
         bounds = prepare_bounds(bounds)
     j = df.join(bounds, on=list(groups), how="inner")

@@ -156,8 +156,8 @@ def q_compare_models(spark, sf_dir):
     per = df.groupBy("fold").agg(
         F.avg(F.abs(F.col("y") - F.col("y_pred"))).alias("model_mae"),
         F.avg(F.abs(F.col("y") - F.col("constant_pred"))).alias("constant_mae"),
-        M.error_metric_columns("y", "y_pred", prefix="model_")[0],
-        M.error_metric_columns("y", "constant_pred", prefix="constant_")[0])
+        M.r2("y", "y_pred").alias("model_r2"),
+        M.r2("y", "constant_pred").alias("constant_r2"))
     return M.mean_over(per, ["model_mae", "constant_mae", "model_r2", "constant_r2"], decimals=2)
 
 

@@ -75,7 +75,6 @@ def exclusion_bounds(df: DataFrame, cfg: C.CleanConfig) -> DataFrame:
     if not cost_bounded:
         df = df.withColumn(c.rooms, cap_value(c.rooms, cfg.rooms_cap))
         df = treat_outliers(df, [c.property_type, c.age_band, c.rooms], c.cost, cfg.winsorise,
-                            approx=cfg.approx_quantiles,
                             prepare_bounds=broadcast_if_small if cfg.materialise else None)
     return bounds_filter(df, c.rooms, *cfg.rooms_bounds)
 
