@@ -9,15 +9,16 @@ Per round, all on executors except O(leaves) numbers:
    (node row counts, children) is read back and every node with fewer rows
    than the limit is collapsed into a leaf (CART grows top-down and counts
    only shrink, so this equals refusing the split);
-4. leaf value = ``alpha`` quantile of the residual ``y - pred`` in the leaf
-   (one grouped aggregate, one row per leaf to the driver);
-5. ``pred += learning_rate * value[leaf]`` as a literal map lookup.
-
-The working frame is persisted each round and checkpointed (reliable, in
-the shared checkpoint folder) every ``checkpoint_every`` rounds, so lineage
-stays short and a lost executor re-reads the checkpoint. Scoring uses one
-Arrow ``pandas_udf`` over flattened node arrays of all trees (the model, not
-the data, is broadcast; its size is bounded by rounds x 2^(depth+1)).
+4. leaf value = exact ``alpha`` quantile of the residual ``y - pred`` in the
+   leaf (distributed, one row per leaf to the driver);
+5. ``pred += learning_rate * value[leaf]``, an array lookup by leaf number.
+
+The working frame is persisted and filled each round before the last one is
+released, and checkpointed (reliable, in the shared checkpoint folder) every
+``checkpoint_every`` rounds, so lineage stays short, no round is computed
+twice and a lost executor re-reads the checkpoint. Scoring uses one Arrow
+``pandas_udf`` over flattened node arrays of all trees (the model, not the
+data, travels with the function; its size is bounded by rounds x 2^(depth+1)).
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costlens.operators.quantiles import exact_quantiles
 from costlens.session import checkpoint_dir
 
 
@@ -123,6 +125,8 @@ def _node_table(spark: SparkSession, tree_model, base: str) -> pd.DataFrame:
     nodes = spark.read.parquet(os.path.join(path, "data")).select(
         "id", "leftChild", "rightChild", "rawCount", "split.featureIndex",
         F.col("split.leftCategoriesOrThreshold").alias("thr")).toPandas()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return nodes.sort_values("id").reset_index(drop=True)
 
 
@@ -165,26 +169,20 @@ def collapse_small_nodes(nodes: pd.DataFrame, min_split: int):
 def fit_quantile_boost(df: DataFrame, features: list, label: str, alpha: float, n_estimators: int = 100,
                        max_depth: int = 3, min_samples_leaf: int = 1, min_samples_split: int = 2,
                        learning_rate: float = 0.1, seed: int = 42, max_bins: int = 32,
-                       checkpoint_every: int = 10, leaf_accuracy: int = 10_000,
-                       track_loss: bool = False) -> QuantileBoostModel:
+                       checkpoint_every: int = 10, track_loss: bool = False) -> QuantileBoostModel:
     """Fit a quantile (pinball-loss) boosting model on a Spark DataFrame.
 
-    Rows with a null label or feature are dropped. Leaf values use
-    ``percentile_approx`` (the smallest value with at least ``alpha`` of the
-    leaf at or below it, exact when the leaf has fewer rows than
-    ``leaf_accuracy``); the start value is the same kind of quantile of the
-    whole label column (accuracy 1e6).
-    ``track_loss`` records the training pinball loss after each round (one
-    extra pass per round).
+    Rows with a null label or feature are dropped. The start value and the
+    leaf values are exact quantiles: the smallest value with at least
+    ``alpha`` of the rows at or below it. ``track_loss`` records the training
+    pinball loss after each round.
     """
     spark = df.sparkSession
     ckpt = checkpoint_dir(spark)
     clean = df.select(*[F.col(c).cast("double").alias(c) for c in features],
                       F.col(label).cast("double").alias("_y")).na.drop()
     vec = VectorAssembler(inputCols=list(features), outputCol="_x").transform(clean).select("_x", "_y")
-    # Bounded-memory sketch: an exact whole-table percentile would merge every
-    # distinct label value in one task.
-    init = float(vec.agg(F.percentile_approx("_y", alpha, 1_000_000)).first()[0])
+    init = float(exact_quantiles(vec, [], "_y", [alpha], method="lower").first()[0])
     cur = vec.withColumn("_pred", F.lit(init)).persist(StorageLevel.MEMORY_AND_DISK)
     model = QuantileBoostModel(list(features), alpha, init, learning_rate)
     pin = F.when(F.col("_y") >= F.col("_pred"), alpha * (F.col("_y") - F.col("_pred"))).otherwise(
@@ -196,22 +194,23 @@ def fit_quantile_boost(df: DataFrame, features: list, label: str, alpha: float,
                                    leafCol="_leaf", predictionCol="_tree_pred")
         tm = dt.fit(grad)
         tree, leaf_map = collapse_small_nodes(_node_table(spark, tm, ckpt), min_samples_split)
-        lm = F.create_map(*[F.lit(x) for kv in leaf_map.items() for x in (float(kv[0]), kv[1])])
-        leafed = tm.transform(grad).withColumn("_eff", lm[F.col("_leaf")])
-        vals = (leafed.groupBy("_eff")
-                      .agg(F.percentile_approx(F.col("_y") - F.col("_pred"), alpha, leaf_accuracy).alias("_v"))
-                      .collect())
+        ordinals = [leaf_map[i] for i in range(len(leaf_map))]
+        leafed = tm.transform(grad).withColumn("_eff", F.get(F.lit(ordinals), F.col("_leaf").cast("int")))
+        vals = exact_quantiles(leafed, ["_eff"], F.col("_y") - F.col("_pred"), [alpha], method="lower").collect()
         for r in vals:
-            tree.value[int(r["_eff"])] = float(r["_v"])
-        step = F.create_map(*[F.lit(x) for r in vals for x in (int(r["_eff"]), float(r["_v"]))])
-        nxt = leafed.select("_x", "_y", (F.col("_pred") + F.lit(learning_rate) * step[F.col("_eff")]).alias("_pred"))
+            tree.value[int(r["_eff"])] = float(r["q0"])
+        step = F.get(F.lit([float(tree.value[i]) for i in ordinals]), F.col("_leaf").cast("int"))
+        nxt = leafed.select("_x", "_y", (F.col("_pred") + F.lit(learning_rate) * step).alias("_pred"))
         nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        if (m + 1) % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+        loss = nxt.agg(F.avg(pin)).first()[0]  # fills the frame while the last one is still there
         if track_loss:
-            model.train_loss.append(float(nxt.agg(F.avg(pin)).first()[0]))
+            model.train_loss.append(float(loss))
         cur.unpersist()
         cur = nxt
+        if (m + 1) % checkpoint_every == 0:
+            cur = nxt.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+            cur.count()
+            nxt.unpersist()
         model.trees.append(tree)
     cur.unpersist()
     return model

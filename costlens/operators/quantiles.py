@@ -62,10 +62,11 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, p
     inside = F.exists("_b", lambda x: value_.between(x["lo"], x["hi"]))
     # The number of brackets that begin at or below the value; brackets ascend with the probabilities.
     zone = F.size(F.filter("_b", lambda x: value_ >= x["lo"]))
-    counted = rows.groupBy(*groups, F.when(inside, value_).alias("v"), zone.alias("zone")).agg(
-        F.count("_v").alias("n"), F.first("_b").alias("_b"))
-    per = counted.groupBy(*groups).agg(F.sum("n").alias("_n"), F.first("_b").alias("_b"),
-                                       F.sort_array(F.collect_list(F.struct("v", "n", "zone"))).alias("_rows"))
+    counted = rows.groupBy(*groups, F.when(inside, value_).alias("_in"), zone.alias("_zone")).agg(
+        F.count("_v").alias("_c"), F.first("_b").alias("_b"))
+    row = F.struct(F.col("_in").alias("v"), F.col("_c").alias("n"), F.col("_zone").alias("zone"))
+    per = counted.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.first("_b").alias("_b"),
+                                       F.sort_array(F.collect_list(row)).alias("_rows"))
     per = per.withColumn("_kept", F.filter("_rows", lambda x: x["v"].isNotNull()))
 
     def quantile(x: Column, i: Column) -> Column:

@@ -15,7 +15,7 @@ from costlens.models import baselines as B
 from costlens.models import search as S
 from costlens.models.crossval import cross_validate_interval
 from costlens.models.quantile_boost import fit_interval, predictions_table
-from costlens.models.quantile_linear import fit_linear_quantile
+from costlens.models.quantile_linear import fit_linear_quantiles
 from costlens.operators.metrics import error_metrics, interval_metrics
 from costlens.operators.split import assign_folds, train_test_flag
 from costlens.plans.materialise import materialise
@@ -51,8 +51,7 @@ def q_quantile_boost(spark, sf_dir):
 def q_linear_quantile(spark, sf_dir):
     """Linear quantile regression (0.1 and 0.9) by re-weighted least squares; predictions table."""
     df = training_table(spark, sf_dir)
-    lo = fit_linear_quantile(df, FEATURES, "cost", C.INTERVAL_QUANTILES[0])
-    hi = fit_linear_quantile(df, FEATURES, "cost", C.INTERVAL_QUANTILES[1])
+    lo, hi = fit_linear_quantiles(df, FEATURES, "cost", C.INTERVAL_QUANTILES)
     return df.select("unit_id", F.col("cost").alias("y_true"), lo.predict_column().alias("y_pred_lower"),
                      hi.predict_column().alias("y_pred_upper"))
 
@@ -108,7 +107,7 @@ def q_halving_search(spark, sf_dir):
 def q_random_search(spark, sf_dir):
     """Random search by MAE (train/validation split) over a sampled boosting grid."""
     df = training_table(spark, sf_dir)
-    res = S.random_search_mae(df, FEATURES, "cost", {"maxDepth": [3, 5], "maxIter": [5, 10], "stepSize": [0.1, 0.2]},
+    res = S.random_search_mae(df, FEATURES, "cost", "unit_id", {"maxDepth": [3, 5], "maxIter": [5, 10], "stepSize": [0.1, 0.2]},
                               n_samples=2)
     rows = [{**p, "mae": m} for p, m in res]
     return S.results_frame(spark, rows, "maxDepth long, maxIter long, stepSize double, mae double")

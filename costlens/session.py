@@ -26,13 +26,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "costlens", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's base settings.
 
-    ``master`` defaults to ``local[N]`` with N from ``BENCH_CPUS`` (else all
-    cores); on a cluster pass ``master=None`` through spark-submit instead.
+    A master is set only if the caller names one; unset, spark-submit (or the
+    cluster's own configuration) decides.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        cpus = os.environ.get("BENCH_CPUS", "*")
-        master = f"local[{cpus}]"
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
@@ -62,7 +59,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; set it to a shared folder "
                 "(e.g. on HDFS or object storage) for iterative jobs")

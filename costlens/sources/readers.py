@@ -33,15 +33,42 @@ RECORD_SCHEMA = T.StructType([
 ])
 
 
+def _by_name(raw: DataFrame, schema: T.StructType, columns) -> list:
+    """Columns picked by header name; text that is no value of the schema's type becomes null."""
+    wanted = list(columns or schema.fieldNames())
+    missing = [c for c in wanted if c not in raw.columns]
+    if missing:
+        raise ValueError(f"columns not in the file: {missing}")
+    types = {f.name: f.dataType for f in schema.fields}
+    return [F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in wanted]
+
+
+def _raw(spark: SparkSession, path: str, fmt: str | None) -> DataFrame:
+    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+    return spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
+
+
 def read_records(spark: SparkSession, path: str, columns=None, schema: T.StructType = RECORD_SCHEMA,
                  fmt: str | None = None) -> DataFrame:
-    """Installations x certificates from CSV (header, ISO dates) or Parquet, projected to ``columns``."""
-    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
-    if fmt == "csv":
-        df = spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
-    else:
-        df = spark.read.parquet(path)
-    return df.select(*(columns or [f.name for f in schema.fields]))
+    """Installations x certificates from CSV (header, ISO dates) or Parquet, projected to ``columns``.
+
+    Columns are found by their name in the header, wherever they stand and
+    whatever else the file holds, and cast to the schema's types; cells that
+    do not cast become null (``bad_cells`` counts them). A missing column is
+    an error.
+    """
+    raw = _raw(spark, path, fmt)
+    return raw.select(*_by_name(raw, schema, columns))
+
+
+def bad_cells(spark: SparkSession, path: str, columns=None, schema: T.StructType = RECORD_SCHEMA,
+              fmt: str | None = None) -> DataFrame:
+    """Per column the number of cells that hold text but no value of the schema's type."""
+    raw = _raw(spark, path, fmt)
+    wanted = [c for c in (columns or schema.fieldNames()) if c in schema.fieldNames()]
+    cast = _by_name(raw, schema, wanted)
+    one = raw.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() & v.isNull()).alias(c) for c, v in zip(wanted, cast)])
+    return one.unpivot([], wanted, "column", "n_bad")
 
 
 def read_index_series(spark: SparkSession, path: str, title_col: str = "Title",

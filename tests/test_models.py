@@ -83,3 +83,38 @@ def test_csv_sources_and_sinks(spark, tmp_dir):
         readers.write_table(preds, path, fmt)
         back = readers.read_table(spark, path, fmt, schema=preds.schema)
         assert [tuple(x) for x in back.collect()] == [(1, 10.0, 8.0, 12.0)]
+
+
+def test_boosting_keeps_one_frame_and_no_tree_files(spark):
+    """The persisted frames do not grow with the rounds, and no per-round folder stays behind."""
+    import os
+
+    from costlens.session import checkpoint_dir
+
+    df = _frame(spark, 300)
+    held = spark.sparkContext._jsc.getPersistentRDDs
+    before = len(held())
+    fit_quantile_boost(df, ["x1", "x2"], "y", 0.5, n_estimators=6, max_depth=2, checkpoint_every=2)
+    assert len(held()) <= before
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("tree-")]
+
+
+def test_linear_quantiles_in_one_pass_converge(spark, tmp_dir):
+    from costlens.models.quantile_linear import LinearQuantileModel, fit_linear_quantiles
+
+    df = _frame(spark, 2000).repartition(9)
+    lo, hi = fit_linear_quantiles(df, ["x1", "x2"], "y", [0.1, 0.9])
+    assert lo.converged and hi.converged
+    n = df.count()
+    for m, q in ((lo, 0.1), (hi, 0.9)):
+        p = df.withColumn("p", m.predict_column())
+        below, upto = p.agg(F.count_if(F.col("y") < F.col("p") - 1e-3), F.count_if(F.col("y") <= F.col("p") + 1e-3)).first()
+        assert below / n <= q + 1e-9 and upto / n >= q - 1e-9  # the optimum leaves q between these shares
+    one = fit_linear_quantile(df, ["x1", "x2"], "y", 0.9)
+    assert np.allclose(one.coef, hi.coef, rtol=1e-3)
+    hi.save(spark, tmp_dir + "/m")
+    assert LinearQuantileModel.load(spark, tmp_dir + "/m").coef == hi.coef
+    import pytest
+    with pytest.warns(UserWarning):
+        assert not fit_linear_quantile(df, ["x1", "x2"], "y", 0.9, max_iter=2).converged
