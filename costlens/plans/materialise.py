@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,18 +14,16 @@ BROADCAST_MAX_ROWS = 200_000
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage: write the rows once as Parquet in the shared checkpoint folder and read them back.
 
-    The rows are persisted first so the checkpoint write does not recompute
-    them; the checkpoint keeps the plan's output partitioning, so a later
-    aggregate on the same key needs no new shuffle. Lost executors re-read
-    the checkpoint instead of recomputing from the source.
+    Later scans read only the columns they use, the planner knows the
+    table's size, and tasks lost with an executor re-read the files instead
+    of computing the rows again. The rows' partitioning is not kept: a later
+    step by key shuffles once more.
     """
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

@@ -8,17 +8,17 @@ choice -> location join -> days since start -> one-hot features.
 Shuffle plan: the first-record and mode facts come from one scan and two
 map-side-combined aggregates, joined back to the rows once (a sort-merge
 join on the key; adaptive execution splits a hot key). The filtered rows
-are then checkpointed (lineage cut, partitioning on the key kept). The
-outlier statistics (one row per group) and the price factors (one row per
+are then written once to the shared folder, without the columns that are
+spent by then. The outlier statistics (one row per group) and the price factors (one row per
 quarter) are broadcast after a row-count check, so the rows are not
 shuffled by the few-valued group key. The as-of choice is a ``min_by``
-aggregate on the key that reuses the key partitioning. The location lookup
-is a planner-chosen join.
+aggregate on the key. The location lookup is a planner-chosen join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,14 +81,20 @@ def exclusion_bounds(df: DataFrame, cfg: C.CleanConfig) -> DataFrame:
 
 def units_before_features(records: DataFrame, price_factors: DataFrame | None,
                           cfg: C.CleanConfig = C.CleanConfig()) -> DataFrame:
-    """Steps up to and including the as-of record choice (one row per unit)."""
+    """Steps up to and including the as-of record choice (one row per unit).
+
+    Only the columns that the job names are read; those that only the filters
+    need are dropped after them.
+    """
     c = cfg.cols
-    df = null_out_strings(records)
+    names = {f.name: getattr(c, f.name) for f in fields(c) if f.name != "ties"}
+    used = list(dict.fromkeys([*names.values(), *c.ties]))
+    df = null_out_strings(records.select(*[x for x in used if x in records.columns]))
     df = fill_and_exclude(df, cfg)
     df = relevant_rows(df, c, cfg.tech_type, cfg.denied_install_types)
+    df = df.drop(c.tech_type, c.install_type, c.cluster, c.transaction_type)
     if cfg.materialise:
-        # Cut lineage once: the outlier statistics and the main flow both read
-        # these rows, and they stay partitioned by the key for the as-of step.
+        # Cut lineage once: the outlier statistics and the main flow both read these rows.
         df = materialise(df)
     df = exclusion_bounds(df, cfg)
     if price_factors is not None:

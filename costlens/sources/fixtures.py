@@ -10,6 +10,7 @@ DuckDB oracle for a query can inline the same views as CTEs.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,8 +88,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Return the stand-in view ``name`` over the tables in ``sf_dir``."""
-    register_tables(spark, sf_dir)
+    """Return the stand-in view ``name`` over the tables in ``sf_dir``; only the tables it reads are opened."""
+    text = " ".join(FIXTURE_SQL[n] for n in (name, *FIXTURE_DEPS.get(name, ())))
+    register_tables(spark, sf_dir, [t for t in BASE_TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", text)])
     for dep in FIXTURE_DEPS.get(name, ()):
         spark.sql(FIXTURE_SQL[dep]).createOrReplaceTempView(dep)
     return spark.sql(FIXTURE_SQL[name])
