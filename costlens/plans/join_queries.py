@@ -22,12 +22,15 @@ FIXTURE_REF_YEAR = 1998
 def _outlier_base(spark, sf_dir):
     inst = fixture(spark, sf_dir, "inst").filter(F.col("cost").isNotNull())
     return (inst.withColumn("rooms", cap_value("rooms", 8.0))
-                .withColumn("cost_mirror", F.lit(25000.0) - F.col("cost")))
+                .withColumn("cost_mirror", F.lit(25000.0) - F.col("cost"))
+                # Half the rows mirrored around the lowest cost: a target with outliers on both sides.
+                .withColumn("cost_two", F.when(F.col("tie_2") % 2 == 0, F.col("cost")).otherwise(F.lit(8000.0) - F.col("cost"))))
 
 
 _OUTLIER_SQL = """
 WITH base AS (
-  SELECT * REPLACE (CASE WHEN rooms > 8 THEN 8 ELSE rooms END AS rooms), 25000 - cost AS cost_mirror
+  SELECT * REPLACE (CASE WHEN rooms > 8 THEN 8 ELSE rooms END AS rooms), 25000 - cost AS cost_mirror,
+    CASE WHEN tie_2 % 2 = 0 THEN cost ELSE 8000 - cost END AS cost_two
   FROM inst WHERE cost IS NOT NULL),
 kept AS (SELECT * FROM base WHERE property_type IS NOT NULL AND age_band IS NOT NULL AND rooms IS NOT NULL),
 g AS (SELECT property_type, age_band, rooms, quantile_cont({t}, 0.25) AS q1, quantile_cont({t}, 0.75) AS q3
@@ -38,10 +41,10 @@ SELECT unit_id, record_id, tie_1, tie_2, tie_3, round({expr}, 4) AS {t} FROM b W
 """
 
 
-def _outlier_query(mode, target, expr, cond):
+def _outlier_query(mode, target, expr, cond, name=None):
     sql = with_fixtures(_OUTLIER_SQL.format(t=target, expr=expr, cond=cond), "inst")
 
-    @query(f"winsorise_{mode}", sql)
+    @query(name or f"winsorise_{mode}", sql)
     def q(spark, sf_dir):
         df = _outlier_base(spark, sf_dir)
         out = treat_outliers(df, GROUPS, target, mode)
@@ -59,6 +62,15 @@ _outlier_query("both", "cost_mirror",
                "CASE WHEN cost_mirror > hi THEN hi WHEN cost_mirror < lo THEN lo ELSE cost_mirror END", "true")
 
 
+_TWO = "cost_two"
+_outlier_query("upper", _TWO, "CASE WHEN cost_two > hi THEN hi ELSE cost_two END", "cost_two >= lo", "winsorise_upper_two_tailed")
+_outlier_query("none", _TWO, _TWO, "cost_two >= lo AND cost_two <= hi", "winsorise_none_two_tailed")
+_outlier_query("lower", _TWO, "CASE WHEN cost_two < lo THEN lo ELSE cost_two END",
+               "(CASE WHEN cost_two < lo THEN lo ELSE cost_two END) <= hi", "winsorise_lower_two_tailed")
+_outlier_query("both", _TWO, "CASE WHEN cost_two > hi THEN hi WHEN cost_two < lo THEN lo ELSE cost_two END", "true",
+               "winsorise_both_two_tailed")
+
+
 @query("group_distinct_rank", with_fixtures("""
 WITH base AS (SELECT * REPLACE (CASE WHEN rooms > 8 THEN 8 ELSE rooms END AS rooms) FROM inst),
 c AS (SELECT property_type, age_band, rooms, CAST(count(DISTINCT unit_id) AS BIGINT) AS n_distinct

@@ -80,6 +80,22 @@ def q_floor_metrics(spark, sf_dir):
     return rounded(M.floor_metrics(_preds(spark, sf_dir), "lo", "hi", 8000.0, by=["fold"]))
 
 
+@query("floor_metrics_low", with_fixtures(f"""
+WITH low AS (SELECT fold, lo, lo + 400 * (l_partkey % 4) AS hi FROM preds)
+SELECT fold,
+  {_r("avg(CASE WHEN lo < 8000 AND hi < 8000 THEN 1.0 ELSE 0.0 END) * 100.0", "pct_both_below")},
+  {_r("avg(CASE WHEN lo < 8000 THEN 1.0 ELSE 0.0 END) * 100.0", "pct_lower_below")},
+  {_r("avg(CASE WHEN lo < 8000 AND hi > 8000 THEN hi - 8000 END)", "lifted_width_mean")},
+  {_r("min(hi - CASE WHEN lo < 8000 AND hi > 8000 THEN 8000 ELSE lo END)", "lifted_width_min")},
+  {_r("max(hi - CASE WHEN lo < 8000 AND hi > 8000 THEN 8000 ELSE lo END)", "lifted_width_max")}
+FROM low GROUP BY fold
+""", "preds"))
+def q_floor_metrics_low(spark, sf_dir):
+    """Floor statistics of intervals around the floor: both bounds below it, upper bounds on it, and straddling."""
+    low = _preds(spark, sf_dir).withColumn("hi", F.col("lo") + 400 * (F.col("l_partkey") % 4))
+    return rounded(M.floor_metrics(low, "lo", "hi", 8000.0, by=["fold"]))
+
+
 @query("error_metrics", with_fixtures(
     f"SELECT fold, {_error_sql()}, CAST(count(*) AS BIGINT) AS n FROM preds GROUP BY fold", "preds"))
 def q_error_metrics(spark, sf_dir):
