@@ -32,7 +32,7 @@ from costlens.llm.shingles import mix, shingle_set
 # probability (1 - 0.85 ** 6) ** 40 = 6e-9, one of 0.8 with 5e-6.
 BANDS, ROWS = 40, 6
 # Shingles of a block; a document counts as FLOOR shingles at least, so a block has at most BLOCK / FLOOR documents.
-BLOCK, FLOOR = 1_000_000, 500
+BLOCK, FLOOR = 250_000, 500
 _COLUMNS = 4096
 
 
