@@ -32,14 +32,6 @@ NEW_UNIT_AGE_BAND = "2007 onwards"
 # is taken to have been built with the heat pump.
 NEW_UNIT_GAP_DAYS = 365
 
-# Optional range filters (inclusive); keys absent = bound not applied.
-EXCLUSION_CRITERIA = {
-    "NUMBER_HABITABLE_ROOMS_lower_bound": 2,
-    "TOTAL_FLOOR_AREA_lower_bound": 20,
-    "TOTAL_FLOOR_AREA_upper_bound": 500,
-    "PROPERTY_TYPE_allowed_list": ["House", "Bungalow"],
-}
-
 WINSORISE_MODE = "upper"
 MIN_DATE = "2007-01-01"
 ROOMS_CAP = 8
@@ -166,3 +158,12 @@ class CleanConfig:
     rooms_cap: int = ROOMS_CAP
     # Checkpoint filtered rows and size-check small sides before broadcasting.
     materialise: bool = True
+
+
+# Column names of the source's table of installations x certificates.
+SOURCE_COLUMNS = Columns(
+    key="original_mcs_index", event_date="commission_date", record_id="original_epc_index", cluster="cluster",
+    install_type="installation_type", floor_area="TOTAL_FLOOR_AREA", age_band="CONSTRUCTION_AGE_BAND",
+    rooms="NUMBER_HABITABLE_ROOMS", transaction_type="TRANSACTION_TYPE", built_form="BUILT_FORM",
+    property_type="PROPERTY_TYPE", record_date="INSPECTION_DATE", ties=("original_epc_index",))
+SOURCE_CONFIG = CleanConfig(cols=SOURCE_COLUMNS)

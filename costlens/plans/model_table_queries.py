@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from costlens import config as C
@@ -10,6 +13,8 @@ from costlens.operators.indexation import quarterly_factors
 from costlens.plans.join_queries import _LOCATION_FIXTURES, _LOCATION_SQL, FIXTURE_REF_YEAR
 from costlens.plans.model_table import model_table, units_before_features
 from costlens.plans.registry import query
+from costlens.plans.train_job import InputPaths, training_inputs
+from costlens.session import checkpoint_dir
 from costlens.sources.fixtures import fixture, with_fixtures
 
 FIXTURE_CFG = C.CleanConfig(tech_type="Air Source")
@@ -158,3 +163,44 @@ def q_units_before_features(spark, sf_dir):
     out = units_before_features(inst, factors, FIXTURE_CFG)
     return out.select("unit_id", "record_id", "event_date", "inspection_date", "rooms",
                       F.round("cost", 4).alias("cost"), F.round("adjusted_cost", 4).alias("adjusted_cost"))
+
+
+# The stand-in rows under the source's column names, with one more column in front as wider files have.
+_LANDED = ("'x' AS extra_column", "INSPECTION_DATE AS INSPECTION_DATE", "unit_id AS original_mcs_index", "event_date AS commission_date",
+           "postcode", "tech_type", "cost", "is_cluster AS cluster", "record_id AS original_epc_index",
+           "install_type AS installation_type", "floor_area AS TOTAL_FLOOR_AREA", "age_band AS CONSTRUCTION_AGE_BAND",
+           "rooms AS NUMBER_HABITABLE_ROOMS", "tenure AS TENURE", "transaction_type AS TRANSACTION_TYPE",
+           "built_form AS BUILT_FORM", "property_type AS PROPERTY_TYPE")
+SOURCE_FIXTURE_CFG = replace(C.SOURCE_CONFIG, tech_type="Air Source")
+SOURCE_LEVELS = {{"built_form": "BUILT_FORM", "property_type": "PROPERTY_TYPE", "age_band": "CONSTRUCTION_AGE_BAND"}.get(c, c): v
+                 for c, v in FIXTURE_LEVELS.items()}
+_SOURCE_OUT = {"unit_id": "original_mcs_index", "record_id": "original_epc_index", "event_date": "commission_date",
+               "inspection_date": "INSPECTION_DATE", "floor_area": "TOTAL_FLOOR_AREA", "rooms": "NUMBER_HABITABLE_ROOMS",
+               "built_form": "BUILT_FORM", "property_type": "PROPERTY_TYPE", "age_band": "CONSTRUCTION_AGE_BAND"}
+
+
+def land_files(spark, sf_dir, folder):
+    """The stand-in tables as the job's input files."""
+    views = {"records": fixture(spark, sf_dir, "inst").selectExpr(*_LANDED),
+             "price_index": fixture(spark, sf_dir, "price_index").withColumnsRenamed({"title": "Title", "value": "CPI"})}
+    views |= {n: fixture(spark, sf_dir, n) for n in _LOCATION_FIXTURES}
+    for name, df in views.items():
+        df.write.option("header", True).option("encoding", "ISO-8859-1" if "postcode" in name else "UTF-8").csv(f"{folder}/{name}")
+    return InputPaths(**{n: f"{folder}/{n}" for n in views})
+
+
+# The oracle is the flagship's, with the source's tie rule and names.
+_TRAIN_SQL = _CLEAN_SQL.replace("inspection_date ASC NULLS LAST, tie_1, tie_2, tie_3",
+                                "inspection_date ASC NULLS LAST, record_id ASC NULLS FIRST")
+_TRAIN_NAMES = ", ".join([f"{c} AS {_SOURCE_OUT[c]}" if c in _SOURCE_OUT else c for c in OUT_COLS] + ["cost", "adjusted_cost"] + [
+    f"{c}_{v} AS {_SOURCE_OUT.get(c, c)}_{v}" for c, vs in FIXTURE_LEVELS.items() for v in vs])
+
+
+@query("train_inputs", f"SELECT {_TRAIN_NAMES} FROM ({_TRAIN_SQL})")
+def q_train_inputs(spark, sf_dir):
+    """The training job's model table from landed CSV files with the source's column names."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    out = training_inputs(spark, land_files(spark, sf_dir, folder), SOURCE_LEVELS, SOURCE_FIXTURE_CFG, FIXTURE_REF_YEAR)
+    dummies = [f"{c}_{v}" for c, vs in SOURCE_LEVELS.items() for v in vs]
+    return out.select(*[_SOURCE_OUT.get(c, c) for c in OUT_COLS], F.round("cost", 4).alias("cost"),
+                      F.round("adjusted_cost", 4).alias("adjusted_cost"), *dummies)
