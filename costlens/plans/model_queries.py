@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from costlens import config as C
 from costlens.models import baselines as B
 from costlens.models import search as S
-from costlens.models.crossval import cross_validate_interval
+from costlens.models.crossval import (cross_validate_interval, point_metrics, point_predictions, residual_intervals,
+                                      summary_per_feature)
 from costlens.models.quantile_boost import fit_interval, predictions_table
 from costlens.models.quantile_linear import fit_linear_quantiles
 from costlens.operators.metrics import error_metrics, interval_metrics
@@ -73,6 +74,36 @@ def q_point_boost(spark, sf_dir):
     return error_metrics(pred, "cost", "prediction", by=["is_test"])
 
 
+POINT_ROUNDS = 10
+DUMMIES = [c for c in FEATURES if c.startswith(("built_form_", "property_type_", "age_band_", "region_name_"))]
+
+
+def _weighted(spark, sf_dir):
+    return training_table(spark, sf_dir).withColumn(
+        "weight", F.when(F.col("event_date") >= F.lit("1996-01-01").cast("date"), 2.0).otherwise(1.0))
+
+
+@query("cross_validate_point")
+def q_cross_validate_point(spark, sf_dir):
+    """5-fold metrics of the point model, the constant and the model per feature, on train and test rows."""
+    preds = point_predictions(_weighted(spark, sf_dir), "unit_id", FEATURES, "cost", DUMMIES, weight_col="weight",
+                              max_iter=POINT_ROUNDS)
+    return point_metrics(materialise(preds), DUMMIES)
+
+
+@query("summary_per_feature")
+def q_summary_per_feature(spark, sf_dir):
+    """Mean over the folds of the point model's metrics, per feature."""
+    return summary_per_feature(q_cross_validate_point(spark, sf_dir))
+
+
+@query("residual_interval")
+def q_residual_interval(spark, sf_dir):
+    """5-fold interval metrics of the point model plus linear quantiles of its residuals."""
+    return residual_intervals(_weighted(spark, sf_dir), "unit_id", FEATURES, "cost", weight_col="weight",
+                              max_iter=POINT_ROUNDS)
+
+
 @query("baseline_models")
 def q_baseline_models(spark, sf_dir):
     """Trees, forest, boosting and linear (OLS, lasso, ridge, elastic net) baselines: R2 / MAE on train and test."""
