@@ -17,9 +17,11 @@ from costlens.models.crossval import (cross_validate_interval, point_metrics, po
                                       summary_per_feature)
 from costlens.models.quantile_boost import fit_interval, predictions_table
 from costlens.models.quantile_linear import fit_linear_quantiles
+from costlens.operators.knn import knn_mean
 from costlens.operators.metrics import error_metrics, interval_metrics
 from costlens.operators.split import assign_folds, train_test_flag
 from costlens.plans.materialise import materialise
+from costlens.plans.model_table_queries import _CLEAN_SQL as CLEAN_SQL
 from costlens.plans.model_table_queries import FIXTURE_CFG, clean_model_table, fixture_inputs, FIXTURE_LEVELS
 from costlens.plans.model_table import model_table
 from costlens.plans.registry import query
@@ -124,6 +126,30 @@ _GRID = {"max_depth": [3, 5, 10], "min_samples_leaf": [1, 20, 100], "min_samples
          "learning_rate": [0.05, 0.1, 0.2]}
 
 
+def _knn_sql():
+    """Brute force over all pairs of a test and a training row of the clean table."""
+    scale = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}, stddev_pop(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(FEATURES))
+    z = ", ".join(f"(CAST({c} AS DOUBLE) - m{i}) / CASE WHEN s{i} = 0 THEN 1 ELSE s{i} END AS z{i}" for i, c in enumerate(FEATURES))
+    square = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(FEATURES)))
+    return f"""
+WITH t AS (SELECT *, CAST(('0x' || substr(md5('{C.RANDOM_STATE}|' || CAST(unit_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS is_test
+           FROM ({CLEAN_SQL}) c),
+s AS (SELECT {scale} FROM t WHERE NOT is_test),
+x AS (SELECT unit_id, cost, is_test, {z} FROM t, s),
+d AS (SELECT a.unit_id, b.cost, row_number() OVER (PARTITION BY a.unit_id ORDER BY round({square}, 9), b.unit_id) AS rn
+      FROM x a JOIN x b ON a.is_test AND NOT b.is_test)
+SELECT unit_id, round(avg(cost), 6) AS knn_mean FROM d WHERE rn <= 5 GROUP BY unit_id
+"""
+
+
+@query("knn_mean", _knn_sql())
+def q_knn_mean(spark, sf_dir):
+    """Mean cost of the five training units nearest to each test unit in scaled features."""
+    df = train_test_flag(training_table(spark, sf_dir), "unit_id", 20, C.RANDOM_STATE)
+    out = knn_mean(df.filter(F.col("is_test")), df.filter(~F.col("is_test")), FEATURES, "cost", "unit_id", 5)
+    return out.select("unit_id", F.round("knn_mean", 6).alias("knn_mean"))
+
+
 @query("halving_search")
 def q_halving_search(spark, sf_dir):
     """Successive halving over a sampled grid on validation pinball loss (lower bound)."""
