@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by iterative quantisation and multi-index Hamming tables.
 
-A rotation of the (centred, length-1) vectors is learned on a bounded sample
+A rotation of the centred, length-1 vectors is learned on a bounded sample
 so that the signs of the rotated coordinates are balanced and lose little;
-they are the binary code. The code is cut into parts of ``PART`` bits, one
+they are the binary code. (How far to centre is set by the recall measured on
+the sample.) The code is cut into parts of ``PART`` bits, one
 table each. Two codes that differ in fewer than ``2 * tables`` bits agree in some
 part but for one bit, so every vector looks up its own part and all parts one
 bit away in every table. What it meets there with the same label is compared
@@ -28,24 +29,59 @@ from costlens.llm.components import connected_components
 
 SAMPLE = 8192
 BITS, PART = 64, 16
+# Share of the hardest pairs that the tables must bring together on the sample.
+RECALL = 0.98
 STORED, ASKING = 2048, 8192
+# Buckets of more pairs than LARGE are matrix products of their own; those of others go PAIRS at a time.
+LARGE, PAIRS = 20_000, 40_000
 _MET = "u long, v long, k long, n long"
 
 
-def learn_rotation(x: np.ndarray, bits: int = BITS, rounds: int = 40, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection (dimensions x bits) of the sample rows x by iterative quantisation."""
-    mean = x.mean(axis=0) if len(x) else np.zeros(x.shape[1])
-    v = x - mean
-    bits = min(bits, x.shape[1])
+def learn_rotation(v: np.ndarray, bits: int, rounds: int = 30, seed: int = 3) -> np.ndarray:
+    """Projection (dimensions x bits) of the sample rows v by iterative quantisation.
+
+    Vectors of fewer dimensions than bits get several rotations side by side.
+    """
     _, axes = np.linalg.eigh(v.T @ v)
-    main = axes[:, ::-1][:, :bits]
-    v = v @ main
-    r = np.linalg.qr(np.random.default_rng(seed).normal(size=(bits, bits)))[0]
-    for _ in range(rounds if len(x) else 0):
-        b = np.where(v @ r >= 0, 1.0, -1.0)
-        left, _, right = np.linalg.svd(v.T @ b)
-        r = left @ right
-    return mean, main @ r
+    axes = axes[:, ::-1][:, :min(bits, v.shape[1])]
+    x, parts = v @ axes, []
+    while sum(p.shape[1] for p in parts) < bits:
+        n = x.shape[1]
+        r = np.linalg.qr(np.random.default_rng(seed + len(parts)).normal(size=(n, n)))[0]
+        for _ in range(rounds if len(v) else 0):
+            left, _, right = np.linalg.svd(x.T @ np.where(x @ r >= 0, 1.0, -1.0))
+            r = left @ right
+        parts.append(axes @ r)
+    return np.concatenate(parts, axis=1)[:, :bits]
+
+
+def fit_codes(x: np.ndarray, threshold: float, bits: int = BITS, part: int = PART) -> tuple[np.ndarray, np.ndarray, float]:
+    """Centre, projection and measured recall of the tables for the length-1 sample rows x.
+
+    Subtracting the mean balances the bits, but it widens the angle between
+    neighbours that lie close to the mean. So the largest share of the mean
+    is taken off at which sample vectors still meet vectors at exactly the
+    threshold, the hardest ones to find.
+    """
+    rng = np.random.default_rng(9)
+    if not len(x):
+        return np.zeros(x.shape[1]), learn_rotation(x, bits), 1.0
+    noise = rng.normal(size=x.shape)
+    noise -= (noise * x).sum(axis=1, keepdims=True) * x
+    length = np.linalg.norm(noise, axis=1, keepdims=True)
+    near = threshold * x + np.sqrt(1 - threshold ** 2) * noise / np.maximum(length, 1e-12)
+    tried = []
+    for share in (1.0, 0.5, 0.0):
+        centre = share * x.mean(axis=0)
+        projection = learn_rotation(x - centre, bits)
+        a, b = codes(x, centre, projection), codes(near, centre, projection)
+        tables = -(-bits // part)
+        found = ~_first_met(a, b, tables, tables, part)
+        tried.append((float(found.mean()), centre, projection))
+        if tried[-1][0] >= RECALL:
+            break
+    recall, centre, projection = max(tried, key=lambda t: min(t[0], RECALL))
+    return centre, projection, recall
 
 
 def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
@@ -62,69 +98,101 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _count_bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x)
-
-
-def _first_met(a: np.ndarray, b: np.ndarray, table: int, part: int) -> np.ndarray:
-    """Whether no table before this one brings the two codes together."""
+def _first_met(a: np.ndarray, b: np.ndarray, table, tables: int, part: int) -> np.ndarray:
+    """Whether no table before ``table`` (a number, or one for each pair) brings the two codes together."""
     out, mask = np.ones(len(a), dtype=bool), np.uint64((1 << part) - 1)
-    for t in range(table):
-        out &= _count_bits(((a ^ b) >> np.uint64(t * part)) & mask) > 1
+    for t in range(tables):
+        out &= (t >= table) | (np.bitwise_count(((a ^ b) >> np.uint64(t * part)) & mask) > 1)
     return out
 
 
-def _compare(threshold: float, part: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bucket, held, label, stored = None, [], None, None
-
-        def build():
-            f = pd.concat(held)
-            vec = np.stack([np.frombuffer(v) for v in f["vec"]])
-            return (f["rep"].to_numpy(), f["key"].to_numpy(), f["code"].to_numpy().view(np.uint64),
-                    f["copies"].to_numpy(), vec)
-
-        def finish():
-            if stored is not None and label is not None:
-                out = label != np.arange(len(label))
-                ids, keys = stored[0], stored[1]
-                yield pd.DataFrame({"u": ids[out], "v": ids[label[out]], "k": keys[out], "n": 0})
+def _spread(label: np.ndarray, i: np.ndarray, j: np.ndarray, asking: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels of the stored rows after asking row i ties the stored rows j it links; least label of each asking row."""
+    while True:
+        low = np.full(asking, len(label))
+        np.minimum.at(low, i, label[j])
+        new = label.copy()
+        np.minimum.at(new, j, low[i])
+        new = new[new]
+        if (new == label).all():
+            return label, low
+        label = new
+
+
+def _compare(threshold: float, tables: int, part: int):
+    """Links of buckets that come sorted, their stored rows before the asking ones."""
+    bucket = ["label", "tab", "part", "sb", "qb"]
+
+    def pairs(at, first, count):
+        """Asking rows ``at``, each with the ``count`` stored rows from ``first`` on, in chunks."""
+        total = np.cumsum(count)
+        cuts = np.unique(np.searchsorted(total, np.arange(PAIRS, total[-1] + PAIRS, PAIRS), side="left") + 1)
+        lo = 0
+        for hi in cuts:
+            c = count[lo:hi]
+            if c.sum():
+                i = np.repeat(at[lo:hi], c)
+                yield i, np.repeat(first[lo:hi] - np.cumsum(c) + c, c) + np.arange(c.sum())
+            lo = hi
+
+    def work(f: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        ids, keys, copies, tab = (f[c].to_numpy() for c in ("rep", "key", "copies", "tab"))
+        code, asks = f["code"].to_numpy().view(np.uint64), f["asks"].to_numpy()
+        vec = np.frombuffer(b"".join(f["vec"])).reshape(len(f), -1)  # padded to one width
+        run = f.groupby(bucket, sort=False).ngroup().to_numpy()
+        start = np.flatnonzero(np.diff(run, prepend=-1))
+        stored = np.add.reduceat((~asks).astype(np.int64), start)
+        asking = np.add.reduceat(asks.astype(np.int64), start)
+        large = stored * asking > LARGE
+
+        def links(i, j, cosine):
+            ok = (cosine >= threshold) & ((ids[i] != ids[j]) | (keys[i] != keys[j]))
+            i, j = i[ok], j[ok]
+            ok = _first_met(code[i], code[j], tab[i], tables, part)
+            return i[ok], j[ok]
+
+        def found(i, j, label):
+            """Counts and a tie of each asking row, its ties spread over the labels of the stored rows."""
+            label, low = _spread(label, i, j, len(f))
+            hit = np.unique(i)
+            n = np.bincount(i, weights=copies[j], minlength=len(f)).astype(np.int64)
+            return label, pd.DataFrame({"u": ids[hit], "v": ids[low[hit]], "k": keys[hit], "n": n[hit]})
+
+        def tied(label):
+            out = np.flatnonzero(label != np.arange(len(label)))
+            return pd.DataFrame({"u": ids[out], "v": ids[label[out]], "k": keys[out], "n": 0})
+
+        at = np.flatnonzero(asks & ~large[run])
+        label = np.arange(len(f))
+        if len(at):
+            got = [links(i, j, np.einsum("ij,ij->i", vec[i], vec[j])) for i, j in pairs(at, start[run[at]], stored[run[at]])]
+            i, j = (np.concatenate(x) for x in zip(*got)) if got else (at[:0], at[:0])
+            if len(i):
+                label, out = found(i, j, label)
+                yield out
+        for r in np.flatnonzero(large):
+            own = np.arange(start[r], start[r] + stored[r])
+            for a in range(start[r] + stored[r], start[r] + stored[r] + asking[r], 1024):
+                q = np.arange(a, min(a + 1024, start[r] + stored[r] + asking[r]))
+                x, y = np.nonzero(vec[q] @ vec[own].T >= threshold)
+                i, j = links(q[x], own[y], np.ones(len(x)))
+                if len(i):
+                    label, out = found(i, j, label)
+                    yield out
+        yield tied(label)
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for f in frames:
-            for b, g in f.groupby(["label", "tab", "part", "sb", "qb"], sort=False):
-                if b != bucket:
-                    yield from finish()
-                    bucket, held, label, stored = b, [], None, None
-                held += [g[~g["asks"]]] if (~g["asks"]).any() else []
-                asks = g[g["asks"]]
-                if not len(asks) or not held:
-                    continue
-                if stored is None:  # stored rows come first
-                    stored = build()
-                    label = np.arange(len(stored[0]))
-                ids, keys, code, copies, vec = stored
-                for at in range(0, len(asks), 1024):
-                    a = asks.iloc[at:at + 1024]
-                    q = np.stack([np.frombuffer(v) for v in a["vec"]])
-                    i, j = np.nonzero(q @ vec.T >= threshold)
-                    aid, akey, acode = a["rep"].to_numpy(), a["key"].to_numpy(), a["code"].to_numpy().view(np.uint64)
-                    ok = ((aid[i] != ids[j]) | (akey[i] != keys[j])) & _first_met(acode[i], code[j], int(b[1]), part)
-                    i, j = i[ok], j[ok]
-                    if not len(i):
-                        continue
-                    while True:  # join the stored vectors that an asking one links
-                        low = np.full(len(a), len(ids))
-                        np.minimum.at(low, i, label[j])
-                        new = label.copy()
-                        np.minimum.at(new, j, low[i])
-                        new = new[new]
-                        if (new == label).all():
-                            break
-                        label = new
-                    n = np.bincount(i, weights=copies[j], minlength=len(a)).astype(np.int64)
-                    hit = n > 0
-                    yield pd.DataFrame({"u": aid[hit], "v": ids[low[hit]], "k": akey[hit], "n": n[hit]})
-        yield from finish()
+            f = f if held is None else pd.concat([held, f], ignore_index=True)
+            last = f[bucket].iloc[-1]
+            same = (f[bucket] == last).all(axis=1).to_numpy()
+            cut = int(np.flatnonzero(same)[0])  # the last bucket may go on
+            if cut:
+                yield from work(f.iloc[:cut].reset_index(drop=True))
+            held = f.iloc[cut:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield from work(held)
 
     return run
 
@@ -154,9 +222,10 @@ def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     classes = keys.where("key is not null").groupBy("label", "key", "key2").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("e").alias("e"))
 
-    drawn = base.where(able).select("e", F.xxhash64("vec_id", "e").alias("h")).orderBy("h").limit(sample).collect()
-    width = base.where(able).agg(F.max(F.size("e"))).first()[0] or 1
-    mean, projection = learn_rotation(_matrix([r["e"] for r in drawn], width))
+    classes = stash(classes, "classes")
+    drawn = classes.select("e", F.xxhash64("key", "rep").alias("h")).orderBy("h").limit(sample).collect()
+    width = classes.agg(F.max(F.size("e"))).first()[0] or 1
+    mean, projection, _ = fit_codes(_matrix([r["e"] for r in drawn], width), threshold, BITS, part)
     tables = -(-projection.shape[1] // part)
     model = spark.sparkContext.broadcast((mean, projection))  # width * BITS numbers
 
@@ -201,7 +270,7 @@ def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         kept_rows.select(*cols, F.lit(False).alias("asks"))).join(vectors, ["label", "rep", "key"])
     place = [*on, "sb", "qb"]
     met = met.repartition(*place).sortWithinPartitions(*place, "asks")
-    found = stash(met.mapInPandas(_compare(threshold, part), _MET), "links")
+    found = stash(met.mapInPandas(_compare(threshold, tables, part), _MET), "links")
 
     comps = connected_components(found.select("u", "v"))
     counts = found.groupBy(F.col("u").alias("rep"), F.col("k").alias("key")).agg(F.sum("n").alias("n"))
