@@ -17,6 +17,17 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_ROWS = 200_000
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send texts to Python in batches of ``rows`` unless the session has a batch size of its own.
+
+    Spark's default of 10,000 rows holds some 100 MB of long texts on both
+    sides of the pipe, for every task at once.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables, read through Spark (so any store that Spark reads will do)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

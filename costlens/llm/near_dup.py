@@ -61,11 +61,18 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _sliced(frames: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """Smaller frames, so that the sets of few texts are held at a time."""
+    for f in frames:
+        for at in range(0, len(f), rows):
+            yield f.iloc[at:at + rows]
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, number of distinct shingles, digest of the set and band keys (both null without words)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+        for f in _sliced(frames):
             sets = [shingle_set(t) for t in f["text"]]
             yield pd.DataFrame({
                 "id": f["id"].astype("Int64"), "n_shingles": [len(s) for s in sets],
@@ -174,9 +181,8 @@ def _components(docs, id_col, text_col, percent):
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            f["shingles"] = [shingle_set(t).tobytes() for t in f.pop("text")]
-            yield f[["id", "root", "blocks", "block", "shingles"]]
+        for f in _sliced(frames):
+            yield f[["id", "root", "blocks", "block"]].assign(shingles=[shingle_set(t).tobytes() for t in f["text"]])
 
     found = texts.where("text is not null").join(place, "id").select("id", "root", "blocks", "block", "text").mapInPandas(
         sets, "id long, root long, blocks int, block int, shingles binary").where("length(shingles) > 0")

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.llm import decontaminate, embedding_dup, html_extract, language, near_dup, packing, quality, sharding, url_filter, warc
-from costlens.llm.common import table
+from costlens.llm.common import bound_batches, table
 
 QUERIES, ORACLES = {}, {}
 
 
 def query(name: str, oracle: str | None = None):
     def wrap(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            bound_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
