@@ -139,8 +139,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs``, all their columns, that share no window with an item."""
-    bad = contamination(docs, items, id_col, text_col, window).where("contaminated").select(
-        F.col("doc_id").alias("_bad_id")).distinct()
+    """The rows of ``docs``, all their columns, that share no window with an item.
+
+    A verdict hangs on the text alone, so rows are dropped by the digest of
+    their text: ids may be null or repeated, ``id_col`` is not read.
+    """
+    digest = F.sha1(F.col(text_col))
+    texts = docs.select(digest.alias("doc_id"), F.col(text_col).alias("text"))
+    bad = contamination(texts, items, window=window).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
     bad = broadcast_small(stash(bad, "contaminated"))
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad_id")), "left_anti")
+    return docs.join(bad, digest == F.col("_bad"), "left_anti")

@@ -69,3 +69,11 @@ def test_drop_keeps_clean_rows_and_columns(spark, prose):
     out = drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert out.columns == docs.columns
     assert sorted(map(str, (tuple(r) for r in out.collect()))) == ["(2, 'fine', 'b')", "(2, 'fine', None)", "(None, 'fine', 'c')"]
+
+
+def test_drop_is_by_row_not_by_id(spark, prose):
+    item = prose(15, 4)
+    rows = [(None, "fine"), (None, item), (None, "fine too"), (None, None), (1, "before " + item), (1, "fine"), (1, "fine"), (2, item), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(str(r) for r in rows if item not in (r[1] or ""))
