@@ -6,12 +6,21 @@ import html
 import re
 from dataclasses import dataclass, field
 
-# Elements whose content is no text of the page.
-_RAW = "script|style|noscript|template|textarea|title|svg|iframe|object|math|select|canvas|video|audio"
+# Elements whose content is raw text up to their end tag and no text of the page.
+_RAW = frozenset("script style textarea title iframe".split())
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in _RAW}
 # Elements that do not end a block.
 _INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
-    "sub sup time tt u var wbr".split())
+    "sub sup time tt u var wbr "
+    # Formulas are read as part of their line.
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none "
+    "semantics".split())
+# Elements that stand in a line; they end a block only where text is in them.
+_IN_LINE = frozenset("svg object canvas video audio select noscript template".split())
+# Elements of svg whose content is HTML again.
+_HTML_IN_SVG = frozenset("foreignobject desc".split())
 # Elements without content.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements that end an open element of the same kind.
@@ -21,11 +30,13 @@ _SIBLINGS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"),
 _ENDS_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol "
     "pre section table ul".split())
+# Elements that cannot be inside of svg.
+_ENDS_SVG = _ENDS_P | frozenset("body p li dt dd tr td th".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^<>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>?"
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^\"'<>]|\"[^\"<]*\"|'[^'<]*')*)>"
-    r"|</?[a-zA-Z][^<>]*>", re.S | re.I)
+    r"|<(?P<odd>/?[a-zA-Z][a-zA-Z0-9:-]*)[^<>]*>", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role|data-y)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 
 
@@ -56,38 +67,73 @@ def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order; character references decoded, white space turned into single spaces.
 
     Null and empty pages have none. Elements that are not closed end with
-    their parent; stray end tags are passed over.
+    their parent; stray end tags are passed over. Raw text (scripts, styles,
+    titles, text fields, frames) is left out up to its end tag, or to the
+    page's end as browsers do; text in any other element is kept with its path.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str, int]] = []  # tag, names, label
+    stack: list[tuple[str, str, int, bool]] = []  # tag, names, label, whether it stands in a line
+    owner: tuple | None = None  # the element of the text that waits
+    path: tuple[str, ...] = ()
     text: list[str] = []
-    linked = tags = in_link = 0
+    linked = tags = in_link = n_svg = 0
     page = page or ""
 
     def flush():
         nonlocal linked, tags
         joined = " ".join(html.unescape("".join(text)).split())
         if joined:
-            out.append(Block(tuple(x[1] for x in stack), joined, linked, stack[-1][2] if stack else 0, tags))
+            out.append(Block(path, joined, linked, owner[2] if owner else 0, tags))
         text.clear()
         linked = tags = 0
 
+    def add(piece: str):
+        nonlocal linked, owner, path
+        top = stack[-1] if stack else None
+        if not piece.isspace() and (not text or owner is not top):
+            if owner is not top:
+                if any(not x.isspace() for x in text):
+                    flush()
+                owner = top
+            path = tuple(x[1] for x in stack)
+        text.append(piece)
+        linked += in_link * len(piece)
+
+    def cut(at: int):
+        nonlocal n_svg
+        n_svg -= sum(x[0] == "svg" for x in stack[at:])
+        del stack[at:]
+
     def close(at: int):
         nonlocal in_link
         flush()
-        del stack[at:]
+        cut(at)
         in_link = 0
 
+    def in_svg() -> bool:
+        if n_svg:
+            for x in reversed(stack):
+                if x[0] == "svg" or x[0] in _HTML_IN_SVG:
+                    return x[0] == "svg"
+        return False
+
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
-            text.append(page[at:m.start()])
-            linked += in_link * (m.start() - at)
+            add(page[at:m.start()])
         at = m.end()
-        tag = m["tag"]
+        tag = m["tag"] or m["odd"]
         if tag is None:
             continue
         tag = tag.lower()
+        closed = m["tag"] is not None and m["attrs"].endswith("/")
+        if tag in _RAW and not m["end"]:
+            if not (closed and in_svg()):
+                end = _RAW_END[tag].search(page, at)
+                at = end.end() if end else len(page)
+            continue
+        if m["tag"] is None:
+            continue
         if tag in _INLINE:
             tags += 1
             if tag == "br":
@@ -98,7 +144,7 @@ def blocks(page: str | None) -> list[Block]:
         if m["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    close(i)
+                    cut(i) if stack[i][3] else close(i)
                     break
             else:
                 flush()
@@ -106,12 +152,20 @@ def blocks(page: str | None) -> list[Block]:
         if tag in _VOID:
             flush()
             continue
-        ends = _SIBLINGS.get(tag, ()) + (("p",) if tag in _ENDS_P or tag in _SIBLINGS else ())
-        while stack and stack[-1][0] in ends:
-            close(len(stack) - 1)
-        flush()
+        while tag in _ENDS_SVG and in_svg():
+            close(max(i for i, x in enumerate(stack) if x[0] == "svg"))
+        in_line = tag in _IN_LINE or in_svg()
+        if in_line and closed and (tag == "svg" or in_svg()):
+            continue
+        if not in_line:
+            ends = _SIBLINGS.get(tag, ()) + (("p",) if tag in _ENDS_P or tag in _SIBLINGS else ())
+            while stack and stack[-1][0] in ends:
+                close(len(stack) - 1)
+            flush()
+        n_svg += tag == "svg"
         names, label = _names(tag, m["attrs"])
-        stack.append((tag, names, (stack[-1][2] if stack else 0) if label is None else label))
-    text.append(page[at:])
+        stack.append((tag, names, (stack[-1][2] if stack else 0) if label is None else label, in_line))
+    if at < len(page):
+        add(page[at:])
     flush()
     return out

@@ -145,6 +145,25 @@ def test_blocks():
     assert b[2].path == ("ul", "li", "p")
 
 
+@pytest.mark.parametrize("inside, more", [
+    ("<svg class=i/>", []), ('<svg viewBox="0 0 1 1"/>', []), ("<svg><style/><title/><path d='M0 0'/></svg>", []), ("<svg><path d=x><g>", []),
+    ("<select name=q>", []), ("<object data=x>", []), ("<video src=x>", []), ("<video-player></video-player>", []), ("<select-menu/>", []),
+    ("<script-x></script-x>", []), ("<script>var a = '<p>no</p>';</script >", []), ("<iframe src=x>no</iframe>", []), ("<textarea>no</textarea x>", []),
+    ("<object>kept</object>", ["kept"]), ("<canvas><p>kept</canvas>", ["kept"]), ("<noscript><p>kept</p></noscript>", ["kept"]),
+    ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", ["if x=1 holds"]), ("<math/>", []), ("<svg><text>kept</text></svg>", ["kept"]),
+    ("<svg><foreignObject><p>kept</p><p>too</p></foreignObject></svg>", ["kept", "too"])])
+def test_no_element_swallows_the_article(inside, more):
+    cut = blocks(f"<article><p>one</p>{inside}<p>two</p><p>three</p></article>")
+    assert [b.text for b in cut] == ["one", *more, "two", "three"]
+    assert all("article" in b.path and b.path[-1] == "p" for b in (cut[0], cut[-1]))
+
+
+def test_an_icon_does_not_end_a_block():
+    cut = blocks("<p>one <a href=x><svg><path d='M0'/></svg> two</a> three<p>four<svg><text>five</text></svg> six")
+    assert [(b.path, b.text, b.linked) for b in cut] == [
+        (("p",), "one two three", 4), (("p",), "four", 0), (("p", "svg", "text"), "five", 0), (("p",), "six", 0)]
+
+
 def test_gradients_of_the_lstm():
     rng = np.random.default_rng(1)
     x, mask = rng.normal(size=(5, 3, html_extract.DIM)), np.array([[1, 1, 1], [1, 1, 1], [1, 1, 0], [1, 0, 0], [1, 0, 0]], dtype=float)
