@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -32,7 +32,8 @@ SAMPLE, SAMPLE_CHARS, COMPOSED = 150, 50_000, 1500
 PATH_DIM, WORD_DIM, N_MEASURES = 256, 32, 10
 DIM = PATH_DIM + WORD_DIM + N_MEASURES
 HIDDEN = 24
-BATCH = 256
+# Blocks of pages that are labelled together, and blocks of a page that are taken at a time.
+BATCH, STEPS = 1 << 14, 256
 
 # Fixed words of class names and layouts by which composed pages are made and marked pages are read.
 MAIN_NAMES = ("content", "article", "post", "entry", "story", "body", "main", "text", "page-content", "article-body",
@@ -65,8 +66,9 @@ def _path_slots(path: tuple[str, ...]) -> np.ndarray:
     return np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % PATH_DIM for w in words], dtype=np.int64)
 
 
-def block_vectors(page: list[Block]) -> np.ndarray:
-    """One row of DIM numbers for each block."""
+def block_vectors(page: list[Block], lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """One row of DIM numbers for each block of a page, or for those from ``lo`` to before ``hi``."""
+    whole, page = len(page), page[lo:hi]
     x = np.zeros((len(page), DIM), dtype=np.float32)
     if not page:
         return x
@@ -78,11 +80,11 @@ def block_vectors(page: list[Block]) -> np.ndarray:
     of = np.repeat(np.arange(len(page)), n)
     counts = np.bincount(of * WORD_DIM + words.astype(np.int64), minlength=len(page) * WORD_DIM)
     x[:, PATH_DIM:PATH_DIM + WORD_DIM] = counts.reshape(-1, WORD_DIM) / n[:, None]
-    at = np.arange(len(page))
+    at = np.arange(lo, lo + len(page))
     x[:, PATH_DIM + WORD_DIM:] = np.stack([
         np.log1p(n) / 5, np.log1p(chars) / 7, np.minimum(1, [b.linked for b in page] / chars),
-        [b.text[-1] in ".!?" for b in page], np.minimum([b.tags for b in page], 10) / 10, at == 0, at == len(page) - 1,
-        at / len(page), np.full(len(page), np.log1p(len(page)) / 6), n <= 3], axis=1)
+        [b.text[-1] in ".!?" for b in page], np.minimum([b.tags for b in page], 10) / 10, at == 0, at == whole - 1,
+        at / whole, np.full(len(page), np.log1p(whole) / 6), n <= 3], axis=1)
     return x
 
 
@@ -147,27 +149,87 @@ def _turned(states: np.ndarray, lengths: list[int]) -> np.ndarray:
     return out
 
 
+def _vectors(page: np.ndarray | list[Block], lo: int, hi: int) -> np.ndarray:
+    return page[lo:hi] if isinstance(page, np.ndarray) else block_vectors(page, lo, hi)
+
+
+def _states(pages: list, w, u, b, back: bool) -> list[np.ndarray]:
+    """States of an LSTM over each page, the longest first, in page order; inputs are made STEPS blocks at a time."""
+    lengths = np.array([len(p) for p in pages])
+    out = [np.empty((n, u.shape[0]), dtype=np.float32) for n in lengths]
+    h = c = np.zeros((len(pages), u.shape[0]), dtype=np.float32)
+    for lo in range(0, lengths[0], STEPS):
+        live = int((lengths > lo).sum())
+        ends = np.minimum(lengths[:live], lo + STEPS)
+        zx = np.zeros((ends[0] - lo, live, u.shape[1]), dtype=np.float32)
+        for j, (n, hi) in enumerate(zip(lengths, ends)):
+            zx[:hi - lo, j] = (_vectors(pages[j], n - hi, n - lo)[::-1] if back else _vectors(pages[j], lo, hi)) @ w + b
+        states = np.zeros((ends[0] - lo, live, u.shape[0]), dtype=np.float32)
+        for t in range(ends[0] - lo):
+            k = int((ends > lo + t).sum())
+            i, f, o, g = np.split(zx[t, :k] + h[:k] @ u, 4, axis=1)
+            c = _sigmoid(f + 1) * c[:k] + _sigmoid(i) * np.tanh(g)
+            h = _sigmoid(o) * np.tanh(c)
+            states[t, :k] = h
+        for j, (n, hi) in enumerate(zip(lengths, ends)):
+            if back:
+                out[j][n - hi:n - lo] = states[:hi - lo, j][::-1]
+            else:
+                out[j][lo:hi] = states[:hi - lo, j]
+    return out
+
+
+def _batches(pages: Iterable) -> Iterator[list]:
+    """Pages in turn, in lists of at most BATCH blocks; a longer page is alone."""
+    own, total = [], 0
+    for p in pages:
+        if own and total + len(p) > BATCH:
+            yield own
+            own, total = [], 0
+        own.append(p)
+        total += len(p)
+    if own:
+        yield own
+
+
 @dataclass
 class Labeller:
     weights: list[np.ndarray]  # w, u, b forward; w, u, b backward; output weights and bias
 
-    def logits(self, pages: list[np.ndarray]) -> list[np.ndarray]:
-        """The score of every block of each page; above 0 is main text."""
+    def logits(self, pages: list[np.ndarray] | list[list[Block]]) -> list[np.ndarray]:
+        """The score of every block of each page (its vectors or its blocks); above 0 is main text."""
+        return [z for own in _batches(pages) for z in self._logits(own)]
+
+    def _logits(self, pages: list) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.zeros(0, dtype=np.float32)] * len(pages)
-        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        w, u, b, wb, ub, bb, v, a = self.weights
-        for at in range(0, len(order), BATCH):
-            own = order[at:at + BATCH]
-            lengths = [len(pages[i]) for i in own]
-            x, y, mask = _padded([pages[i] for i in own])
-            h = np.stack([s[-1] for s in _run(x, mask, w, u, b)])
-            k = _turned(np.stack([s[-1] for s in _run(y, mask, wb, ub, bb)]), lengths)
-            z = np.concatenate([h, k], axis=2) @ v + a
-            for j, i in enumerate(own):
-                out[i] = z[:lengths[j], j]
+        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: -len(pages[i]))
+        if not order:
+            return out
+        # Vectors are made once; only those of a page beyond the bound are made anew where they are needed.
+        own = [pages[i] if isinstance(pages[i], np.ndarray) or len(pages[i]) > BATCH else block_vectors(pages[i]) for i in order]
+        *w, v, a = self.weights
+        for i, h, k in zip(order, _states(own, *w[:3], False), _states(own, *w[3:], True)):
+            out[i] = h @ v[:HIDDEN] + k @ v[HIDDEN:] + a
         return out
 
 
+def _gradients(w: list[np.ndarray], pages: list[np.ndarray], labels: list[np.ndarray], count) -> list[np.ndarray]:
+    """Gradients of the weights, of the loss summed over the pages' blocks and divided by ``count``."""
+    lengths = [len(p) for p in pages]
+    x, y, mask = _padded(pages)
+    fore, aft = _run(x, mask, *w[:3]), _run(y, mask, *w[3:6])
+    h, k = np.stack([q[-1] for q in fore]), _turned(np.stack([q[-1] for q in aft]), lengths)
+    both = np.concatenate([h, k], axis=2)
+    truth = np.zeros_like(mask)
+    for j, label in enumerate(labels):
+        truth[:lengths[j], j] = label
+    dz = ((_sigmoid(both @ w[6] + w[7]) - truth) * mask / count).astype(np.float32)
+    dboth = dz[:, :, None] * w[6]
+    gf = _back(x, mask, w[0], w[1], fore, dboth[:, :, :HIDDEN])
+    gb = _back(y, mask, w[3], w[4], aft, _turned(dboth[:, :, HIDDEN:], lengths))
+    return [*gf, *gb, np.einsum("tb,tbh->h", dz, both), dz.sum()]
+
+
 def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 7, rate: float = 8e-3, seed: int = 5) -> Labeller:
     """Fit the labeller by back-propagation through time with Adam."""
     rng = np.random.default_rng(seed)
@@ -181,19 +243,12 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 7, ra
         order = [keep[i] for i in rng.permutation(len(keep))]
         groups = [sorted(order[a:a + 16 * 8], key=lambda i: len(pages[i])) for a in range(0, len(order), 16 * 8)]
         for own in (g[a:a + 16] for g in groups for a in range(0, len(g), 16)):
-            lengths = [len(pages[i]) for i in own]
-            x, y, mask = _padded([pages[i] for i in own])
-            fore, aft = _run(x, mask, *w[:3]), _run(y, mask, *w[3:6])
-            h, k = np.stack([q[-1] for q in fore]), _turned(np.stack([q[-1] for q in aft]), lengths)
-            both = np.concatenate([h, k], axis=2)
-            truth = np.zeros_like(mask)
-            for j, i in enumerate(own):
-                truth[:lengths[j], j] = labels[i]
-            dz = ((_sigmoid(both @ w[6] + w[7]) - truth) * mask / mask.sum()).astype(np.float32)
-            dboth = dz[:, :, None] * w[6]
-            gf = _back(x, mask, w[0], w[1], fore, dboth[:, :, :HIDDEN])
-            gb = _back(y, mask, w[3], w[4], aft, _turned(dboth[:, :, HIDDEN:], lengths))
-            grads = [*gf, *gb, np.einsum("tb,tbh->h", dz, both), dz.sum()]
+            count = np.float32(sum(len(pages[i]) for i in own))
+            # A batch with long pages is run in parts whose gradients are added up.
+            wide = max(1, BATCH // max(len(pages[i]) for i in own))
+            parts = [_gradients(w, [pages[i] for i in p], [labels[i] for i in p], count)
+                     for p in (own[a:a + wide] for a in range(0, len(own), wide))]
+            grads = parts[0] if len(parts) == 1 else [sum(g) for g in zip(*parts)]
             t += 1
             for q, g in enumerate(grads):
                 g = np.clip(g, -1, 1)
@@ -346,9 +401,8 @@ def _fit(seen: list[list[Block]], composed: int) -> Labeller:
 
 def main_text(pages: list[str | None], model: Labeller) -> list[str]:
     """The blocks of each page that are main text, joined by one space."""
-    cut = [blocks(p) for p in pages]
-    scores = model.logits([block_vectors(p) for p in cut])
-    return [" ".join(b.text for b, s in zip(p, z) if s > 0) for p, z in zip(cut, scores)]
+    return [" ".join(b.text for b, s in zip(p, z) if s > 0)
+            for cut in _batches(blocks(p) for p in pages) for p, z in zip(cut, model.logits(cut))]
 
 
 def extract_text(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col: str = "url",

@@ -139,6 +139,46 @@ def test_odd_pages(spark, labeller):
     assert html_extract.extract_text(df.where("page_id > 99"), labeller).count() == 0
 
 
+def _random_labeller():
+    d, h = html_extract.DIM, html_extract.HIDDEN
+    rng = np.random.default_rng(3)
+    return html_extract.Labeller([rng.normal(0, 0.1, n).astype(np.float32) for n in 2 * [(d, 4 * h), (h, 4 * h), (4 * h,)] + [(2 * h,), ()]])
+
+
+def test_a_long_page_does_not_size_the_arrays_of_others():
+    import tracemalloc
+
+    model = _random_labeller()
+    pages = ["<ul>" + f"<li>item {i} of a list" * (4000 if i == 200 else 3 + i % 5) + "</ul>" for i in range(256)]
+    pages.append("<ul>" + "<li>one" * (html_extract.BATCH + 300))
+    alone = [html_extract.main_text([p], model) for p in pages]
+    tracemalloc.start()
+    together = html_extract.main_text(pages, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [[t] for t in together] == alone and peak < 200e6, peak
+
+
+def test_states_are_those_of_the_training_run():
+    model, rng = _random_labeller(), np.random.default_rng(4)
+    pages = [rng.normal(0, 0.3, (n, html_extract.DIM)).astype(np.float32) for n in (7, 0, 700, 256, 257, 1)]
+    w = model.weights
+    for p, z in zip(pages, model.logits(pages)):
+        one = np.ones((len(p), 1), dtype=np.float32)
+        h = [s[-1][0] for s in html_extract._run(p[:, None], one, *w[:3])]
+        k = [s[-1][0] for s in html_extract._run(p[::-1][:, None], one, *w[3:6])][::-1]
+        assert np.allclose(z, [np.concatenate(x) @ w[6] + w[7] for x in zip(h, k)], atol=1e-4)
+
+
+def test_parts_of_a_training_batch_add_up(monkeypatch):
+    rng = np.random.default_rng(6)
+    pages = [rng.normal(0, 0.3, (n, html_extract.DIM)).astype(np.float32) for n in (5, 9, 3, 12, 7)]
+    labels = [(rng.random(len(p)) < 0.5).astype(np.float32) for p in pages]
+    whole = html_extract.train(pages, labels, epochs=1)
+    monkeypatch.setattr(html_extract, "BATCH", 24)
+    assert all(np.allclose(a, b, atol=1e-3) for a, b in zip(whole.weights, html_extract.train(pages, labels, epochs=1).weights))
+
+
 def test_blocks():
     b = blocks("<ul><li>a<li><p>b <i>c</i>d<p>e</ul><td>f<td>g<br>h<style>x</style>&lt;&#233;")
     assert [x.text for x in b] == ["a", "b cd", "e", "f", "g h<é"]
