@@ -68,6 +68,11 @@ def _sliced(frames: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.Dat
             yield f.iloc[at:at + rows]
 
 
+def _digest(shingles: np.ndarray) -> bytes | None:
+    """Digest of a shingle set; None for the empty one."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, number of distinct shingles, digest of the set and band keys (both null without words)."""
 
@@ -76,7 +81,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             sets = [shingle_set(t) for t in f["text"]]
             yield pd.DataFrame({
                 "id": f["id"].astype("Int64"), "n_shingles": [len(s) for s in sets],
-                "set_hash": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                "set_hash": [_digest(s) for s in sets],
                 "bands": [band_keys(signature(s)) if len(s) else None for s in sets]})
 
     cols = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -121,7 +126,7 @@ def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 def _link_blocks(percent: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, ids, sets = None, [], []
+        key, last, ids, sets = None, None, [], []
 
         def links():
             if len(sets) < 2:
@@ -133,11 +138,14 @@ def _link_blocks(percent: int):
             return pd.DataFrame({"u": name[out], "v": name[label][out]})
 
         for f in frames:
-            for k, i, s in zip(zip(f["root"], f["lo"], f["hi"]), f["id"], f["shingles"]):
+            for k, i, d, s in zip(zip(f["root"], f["lo"], f["hi"]), f["rep"], f["set_hash"], f["shingles"]):
                 if k != key:
                     if (got := links()) is not None:
                         yield got
-                    key, ids, sets = k, [], []
+                    key, last, ids, sets = k, None, [], []
+                if d == last:  # the same class from another task
+                    continue
+                last = d
                 ids.append(i)
                 sets.append(np.frombuffer(s, dtype=np.uint64))
         if (got := links()) is not None:
@@ -165,34 +173,45 @@ def _components(docs, id_col, text_col, percent):
     named = rows.where("id is not null and set_hash is not null")
     classes = stash(named.groupBy("set_hash").agg(F.min("id").alias("rep"), F.max("n_shingles").alias("n"),
                                                   F.first("bands").alias("bands")), "classes")
-    # Ties of each bucket with several classes to its smallest class.
-    keys = classes.select("rep", F.explode("bands").alias("key"))
-    heads = keys.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("last > head")
-    ties = keys.join(heads.select("key", "head"), "key").where("rep <> head").select("rep", "head").distinct()
-    groups = connected_components(ties, "rep", "head").select(F.col("node").alias("rep"), F.col("component").alias("root"))
-    groups = stash(groups.join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep"), "groups")
+    # Ties of each bucket with several classes to its smallest class. Two classes of one node would only widen a group.
+    node = F.xxhash64("set_hash").alias("node")
+    keys = classes.select(node, F.explode("bands").alias("key"))
+    heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("last > head")
+    ties = keys.join(heads.select("key", "head"), "key").where("node <> head").select("node", "head").distinct()
+    groups = connected_components(ties, "node", "head").select("node", F.col("component").alias("root"))
+    groups = stash(groups.join(classes.select(node, "set_hash", "rep", "n"), "node"), "groups")
 
     weight = groups.groupBy("root").agg(F.sum(F.greatest("n", F.lit(FLOOR))).alias("w"))
     weight = weight.select("root", F.ceil(F.col("w") / BLOCK).cast("int").alias("blocks"))
-    place = groups.join(weight, "root").select(
-        F.col("rep").alias("id"), "root", "blocks", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block"))
-    place = broadcast_small(stash(place, "places"))
+    place = stash(groups.join(weight, "root").select(
+        "set_hash", "rep", "root", "blocks", F.pmod("node", "blocks").cast("int").alias("block")), "places")
+    reps = broadcast_small(stash(place.select(F.col("rep").alias("id")).distinct(), "representatives"))
+    place = broadcast_small(place)
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # A task sends a set once, however many rows hold it.
+        sent = {None}
         for f in _sliced(frames):
-            yield f[["id", "root", "blocks", "block"]].assign(shingles=[shingle_set(t).tobytes() for t in f["text"]])
-
-    found = texts.where("text is not null").join(place, "id").select("id", "root", "blocks", "block", "text").mapInPandas(
-        sets, "id long, root long, blocks int, block int, shingles binary").where("length(shingles) > 0")
+            out = {}
+            for t in f["text"]:
+                s = shingle_set(t)
+                if (d := _digest(s)) not in sent:
+                    sent.add(d)
+                    out[d] = s.tobytes()
+            if out:
+                yield pd.DataFrame({"set_hash": list(out), "shingles": list(out.values())})
+
+    found = texts.where("text is not null").join(reps, "id", "left_semi").select("text").mapInPandas(
+        sets, "set_hash binary, shingles binary").join(place, "set_hash")
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
         F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))
     # Two blocks of a group meet in one task; a block alone is checked with any other.
     pair = F.when(F.col("blocks") > 1, F.filter(pair, lambda p: p["lo"] < p["hi"])).otherwise(pair)
-    met = found.select("id", "root", F.explode(pair).alias("p"), "shingles").select(
-        "id", "root", "p.lo", "p.hi", "shingles")
-    met = met.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "id")
+    met = found.select("rep", "set_hash", "root", F.explode(pair).alias("p"), "shingles").select(
+        "rep", "set_hash", "root", "p.lo", "p.hi", "shingles")
+    met = met.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "rep", "set_hash")
     links = met.mapInPandas(_link_blocks(percent), "u long, v long")
     # An id with several texts ties their classes.
     several = named.groupBy("id").agg(F.min("set_hash").alias("a"), F.max("set_hash").alias("b")).where("a <> b").select("id")

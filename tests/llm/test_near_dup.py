@@ -110,3 +110,32 @@ def test_components(spark):
     got = {r[0]: r[1] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for e in edges for x in e}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_hot_repeated_id_is_checked_once(spark, prose, monkeypatch):
+    from costlens.llm import near_dup
+
+    def few(sets, percent):
+        assert len(sets) <= 2, len(sets)
+        return _linked(sets, percent)
+
+    monkeypatch.setattr(near_dup, "_linked", few)
+    base = prose(150, 1)
+    docs = [(5, base)] * 300 + [(9, edited(base, 2, 1)), (11, prose(60, 2))]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == 302 and {r[0]: r[2] for r in got} == {5: 5, 9: 5, 11: 11}
+
+
+def test_a_hot_id_of_many_texts_is_cut_into_blocks(spark, prose, monkeypatch):
+    from costlens.llm import near_dup
+
+    def few(sets, percent):
+        assert len(sets) < 40, len(sets)
+        return _linked(sets, percent)
+
+    monkeypatch.setattr(near_dup, "_linked", few)
+    monkeypatch.setattr(near_dup, "BLOCK", 4000)
+    base = prose(150, 1)
+    docs = [(5, edited(base, 2, i)) for i in range(80)] + [(9, base), (11, prose(60, 2))]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r[0]: r[2] for r in got} == {5: 5, 9: 5, 11: 11}
