@@ -51,25 +51,28 @@ class Block:
     tags: int = field(default=0)
 
 
-def _names(tag: str, attrs: str) -> tuple[str, int | None]:
-    """Tag with its class, id and role words, and the training label if one is set."""
+def _names(tag: str, attrs: str, marked: bool) -> tuple[str, int | None]:
+    """Tag with its class, id and role words, and the training label if the page is ``marked`` and one is set."""
     label, words = None, [tag]
     for name, value in _ATTR.findall(attrs) if attrs else ():
         value = value.strip("\"'").lower()
         if name.lower() == "data-y":
-            label = int(value)
+            if marked and value in ("0", "1"):
+                label = int(value)
         else:
             words += re.split(r"[^a-z0-9]+", value)
     return " ".join(x for x in words if x), label
 
 
-def blocks(page: str | None) -> list[Block]:
+def blocks(page: str | None, marked: bool = True) -> list[Block]:
     """The text blocks of a page in order; character references decoded, white space turned into single spaces.
 
     Null and empty pages have none. Elements that are not closed end with
     their parent; stray end tags are passed over. Raw text (scripts, styles,
     titles, text fields, frames) is left out up to its end tag, or to the
     page's end as browsers do; text in any other element is kept with its path.
+    The training marks data-y=0 and data-y=1 are read only where ``marked``,
+    which is for composed pages.
     """
     out: list[Block] = []
     stack: list[tuple[str, str, int, bool]] = []  # tag, names, label, whether it stands in a line
@@ -163,7 +166,7 @@ def blocks(page: str | None) -> list[Block]:
                 close(len(stack) - 1)
             flush()
         n_svg += tag == "svg"
-        names, label = _names(tag, m["attrs"])
+        names, label = _names(tag, m["attrs"], marked)
         stack.append((tag, names, (stack[-1][2] if stack else 0) if label is None else label, in_line))
     if at < len(page):
         add(page[at:])

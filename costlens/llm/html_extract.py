@@ -376,7 +376,7 @@ def fit_labeller(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE,
     rows = pages.select(F.col(html_col).alias("html")).where(F.length("html").between(1, SAMPLE_CHARS))
 
     def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _fit([blocks(h) for f in frames for h in f["html"]], composed)
+        model = _fit([blocks(h, marked=False) for f in frames for h in f["html"]], composed)
         yield pd.DataFrame({"weights": [pickle.dumps(model.weights)]})
 
     # One task, over the bounded sample, as the training is one loop.
@@ -402,7 +402,7 @@ def _fit(seen: list[list[Block]], composed: int) -> Labeller:
 def main_text(pages: list[str | None], model: Labeller) -> list[str]:
     """The blocks of each page that are main text, joined by one space."""
     return [" ".join(b.text for b, s in zip(p, z) if s > 0)
-            for cut in _batches(blocks(p) for p in pages) for p, z in zip(cut, model.logits(cut))]
+            for cut in _batches(blocks(p, marked=False) for p in pages) for p, z in zip(cut, model.logits(cut))]
 
 
 def extract_text(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col: str = "url",

@@ -198,6 +198,16 @@ def test_no_element_swallows_the_article(inside, more):
     assert all("article" in b.path and b.path[-1] == "p" for b in (cut[0], cut[-1]))
 
 
+@pytest.mark.parametrize("value", ["12.5", "", "top", "1", "0", "-3", "²"])
+def test_marks_of_corpus_pages_are_not_read(value):
+    page = f'<article><div data-y="{value}"><p>one</p></div><p data-y=\'{value}\'>two</p></article>'
+    assert [(b.text, b.label) for b in blocks(page, marked=False)] == [("one", 0), ("two", 0)]
+    assert [b.label for b in blocks(page)] == [int(value == "1")] * 2
+    model = _random_labeller()
+    model.weights[-1] += 100
+    assert html_extract.main_text([page], model) == ["one two"]
+
+
 def test_an_icon_does_not_end_a_block():
     cut = blocks("<p>one <a href=x><svg><path d='M0'/></svg> two</a> three<p>four<svg><text>five</text></svg> six")
     assert [(b.path, b.text, b.linked) for b in cut] == [
