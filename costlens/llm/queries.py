@@ -7,7 +7,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costlens.llm import decontaminate, embedding_dup, html_extract, language, near_dup, packing, quality, sharding, url_filter, warc
+from costlens.llm import (decontaminate, embedding_dup, filter_audit, html_extract, language, merkle, near_dup, packing, quality,
+                          sharding, toxicity, url_filter, warc)
 from costlens.llm.common import bound_batches, table
 
 QUERIES, ORACLES = {}, {}
@@ -200,3 +201,101 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.score_quality(docs, quality_model(docs, table(spark, sf_dir, "labels")))
     return out.select(F.col("id").alias("doc_id"), F.coalesce(fold("id", 4) == 2, F.lit(False)).alias("held_out"),
                       "score", "predicted")
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels of four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity_model(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    out = toxicity.score_toxicity(docs, model)
+    return out.select(F.col("id").alias("doc_id"), F.coalesce(fold("id", 5) == 0, F.lit(False)).alias("held_out"),
+                      "score", "predicted")
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS caps FROM d),
+m AS (SELECT doc_id, part,
+        CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * caps > 3 * length(t) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM w),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+        FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM m LEFT JOIN lab USING (doc_id) GROUP BY part, mask),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS filter, CAST(1 << (instr('ABCDE', substr(filter_order, step, 1)) - 1) AS INTEGER) AS bit,
+        list_sum(list_transform(range(1, step), lambda i: CAST(1 << (instr('ABCDE', substr(filter_order, i, 1)) - 1) AS INTEGER))) AS prior
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+j AS (SELECT c.*, filter_order, step, filter, bit, mask & bit <> 0 AS fails, mask & CAST(coalesce(prior, 0) AS INTEGER) <> 0 AS gone FROM c, s)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter,
+       CAST(sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+       CAST(sum(CASE WHEN fails THEN n * (120 // bit_count(mask)) ELSE 0 END) AS BIGINT) AS shapley
+FROM j GROUP BY part, filter_order, step, filter
+"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, by language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, list_reduce([4294967295] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+           lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT)),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))) AS crc,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+         || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+         || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head, text,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS h,
+         sha256(head || coalesce(octet_length(encode(low)) || ':' || low, '-')) AS t, xor(crc, 4294967295) % 3 = 0 AS touched FROM d),
+base AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM leaf),
+lv(g, k, i, n, h) AS (
+  SELECT g, 0, i, n, h FROM base
+  UNION ALL SELECT g, k + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM lv WHERE n > 1 GROUP BY g, k, i // 8, n),
+sub AS (SELECT g, h AS subroot FROM lv WHERE n = 1),
+up(k, i, n, h) AS (
+  SELECT 0, g, count(*) OVER (), subroot FROM sub
+  UNION ALL SELECT k + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY k, i // 8, n),
+step AS (
+  SELECT a.g, a.k, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM lv a JOIN lv b ON a.g = b.g AND a.k = b.k AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.g, a.k, a.i),
+upstep AS (
+  SELECT a.k, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM up a JOIN up b ON a.k = b.k AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.k, a.i),
+path AS (
+  SELECT b.g, b.i, s.k, s.l, s.r FROM base b JOIN step s ON s.g = b.g AND s.i = b.i // CAST(pow(8, s.k) AS BIGINT)
+  UNION ALL SELECT b.g, b.i, 1000 + s.k, s.l, s.r FROM base b JOIN upstep s ON s.i = b.g // CAST(pow(8, s.k) AS BIGINT)),
+proof AS (SELECT g, i, list([l, r] ORDER BY k) AS p FROM path GROUP BY g, i),
+whole AS (
+  SELECT b.*, coalesce(p, []) AS p, subroot, (SELECT h FROM up WHERE n = 1) AS root
+  FROM base b LEFT JOIN proof USING (g, i) JOIN sub USING (g)),
+folded AS (
+  SELECT *, list_reduce([[CASE WHEN coalesce(touched, false) THEN t ELSE h END, '']] || p,
+           lambda a, s: [sha256(s[1] || a[1] || s[2]), ''])[1] AS folded_root FROM whole)
+SELECT doc_id, h AS leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda s: s[1] || s[2]), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM folded
+"""
+
+
+@query("op13_merkle", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of the documents, checked against rows of which a third have their text lower-cased."""
+    return merkle.manifest(table(spark, sf_dir, "documents"), fold("doc_id", 3) == 0)
