@@ -1,10 +1,10 @@
 """Per-key record choice: first / last / most common / as-of.
 
-All choices are aggregations with ``min_by`` over an ordering struct, not
+All choices are aggregations with ``min`` over an ordering struct, not
 ``row_number`` windows: the aggregate is combined map-side, so a key that
 holds a third of all rows is reduced to one row per map task before the
 shuffle instead of landing whole in one sort task. Ties are broken by
-explicit tie columns, so the choice is deterministic.
+explicit tie columns and then by the row's own values, so the choice is deterministic.
 """
 
 from __future__ import annotations
@@ -26,17 +26,18 @@ def pick_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
     """One row per key: the row whose ``order`` tuple is smallest.
 
     ``order`` is a list of Columns compared left to right (ascending; put a
-    null flag first where nulls must sort last). Rows with a null key are
-    kept as their own group (SQL GROUP BY semantics); filter them first if
-    they must be dropped.
+    null flag first where nulls must sort last). Rows that tie on it are told
+    apart by the returned columns in their order, nulls first, so the row does
+    not hang on the partitioning. Rows with a null key are kept as their own
+    group (SQL GROUP BY semantics); filter them first if they must be dropped.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = [c for c in (columns or df.columns) if c not in keys]
     payload = F.struct(*[F.col(c) for c in cols])
     ordering = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)])
     return (df.groupBy(*keys)
-              .agg(F.min_by(payload, ordering).alias("_pick"))
-              .select(*keys, *[F.col(f"_pick.{c}").alias(c) for c in cols]))
+              .agg(F.min(F.struct(ordering.alias("_o"), payload.alias("_p"))).alias("_pick"))
+              .select(*keys, *[F.col("_pick")["_p"][c].alias(c) for c in cols]))
 
 
 def first_record(df: DataFrame, key: str, date: str, ties: Sequence[str] = (),

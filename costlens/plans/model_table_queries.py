@@ -189,9 +189,18 @@ def land_files(spark, sf_dir, folder):
     return InputPaths(**{n: f"{folder}/{n}" for n in views})
 
 
+def _source_ties(sql):
+    """The source's tie rule (record id) and then the row's own values, nulls first, in both record choices."""
+    rest = {"nulled": ("event_date", "inspection_date", "transaction_type"),
+            "adjusted": ("event_date", "postcode", "cost", "record_id", "floor_area", "age_band", "rooms", "built_form", "property_type")}
+    for table, columns in rest.items():
+        order = ", ".join(f"{c} ASC NULLS FIRST" for c in ("record_id", *columns))
+        sql = sql.replace(f"tie_1, tie_2, tie_3) AS rn\n    FROM {table})", f"{order}) AS rn\n    FROM {table})")
+    return sql
+
+
 # The oracle is the flagship's, with the source's tie rule and names.
-_TRAIN_SQL = _CLEAN_SQL.replace("inspection_date ASC NULLS LAST, tie_1, tie_2, tie_3",
-                                "inspection_date ASC NULLS LAST, record_id ASC NULLS FIRST")
+_TRAIN_SQL = _source_ties(_CLEAN_SQL)
 _TRAIN_NAMES = ", ".join([f"{c} AS {_SOURCE_OUT[c]}" if c in _SOURCE_OUT else c for c in OUT_COLS] + ["cost", "adjusted_cost"] + [
     f"{c}_{v} AS {_SOURCE_OUT.get(c, c)}_{v}" for c, vs in FIXTURE_LEVELS.items() for v in vs])
 

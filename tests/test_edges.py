@@ -180,3 +180,17 @@ def test_model_table_has_no_null_features(spark):
     df = clean_model_table(spark, "/root/testdata/sf0.001")
     nulls = df.select(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in FEATURES]).first()
     assert all(v == 0 for v in nulls)
+
+
+def test_fully_tied_records_are_told_apart_by_their_values(spark):
+    """Rows that tie on key, date and record id: the same row on any layout."""
+    from costlens.operators.records import asof_record, first_record
+
+    rows = [(1, "2020-01-01", "2019-05-01", 7, a, b) for a in (None, "x", "a") for b in (3.5, None, 2.0)] * 3
+    df = spark.createDataFrame(rows, "k long, ev string, rd string, id long, a string, b double").selectExpr(
+        "k", "date(ev) ev", "date(rd) rd", "id", "a", "b")
+    for parts in (1, 2, 7):
+        got = asof_record(df.repartition(parts, "a", "b"), "k", "ev", "rd", ("id",)).first()
+        assert (got["a"], got["b"]) == (None, None)
+        kept = first_record(df.where("a is not null and b is not null").repartition(parts), "k", "rd", ("id",)).first()
+        assert (kept["a"], kept["b"]) == ("a", 2.0)
