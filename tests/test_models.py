@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from costlens.models.quantile_boost import QuantileBoostModel, collapse_small_nodes, fit_quantile_boost
+from costlens.models.quantile_boost import QuantileBoostModel, fit_quantile_boost
 from costlens.models.quantile_linear import fit_linear_quantile
 from costlens.sources import readers
 
@@ -33,18 +33,6 @@ def test_pinball_falls_and_coverage(spark):
     assert 0.03 < share_below < 0.2
 
 
-def test_min_split_collapses_nodes():
-    # root(100) -> left leaf(60), right(40) -> leaves(30, 10); min_split 50 collapses node 2
-    nodes = pd.DataFrame({"id": [0, 1, 2, 3, 4], "leftChild": [1, -1, 3, -1, -1], "rightChild": [2, -1, 4, -1, -1],
-                          "rawCount": [100, 60, 40, 30, 10], "featureIndex": [0, -1, 1, -1, -1],
-                          "thr": [[1.0], [], [2.0], [], []]})
-    tree, leaf_map = collapse_small_nodes(nodes, 50)
-    assert leaf_map == {0: 1, 1: 2, 2: 2}
-    assert tree.left[2] == -1
-    tree.value[:] = [0, 5, 7, 0, 0]
-    assert list(tree.predict(np.array([[0.0, 0.0], [2.0, 9.0]]))) == [5.0, 7.0]
-
-
 def test_model_save_load_roundtrip(spark, tmp_dir):
     df = _frame(spark, 500)
     m = fit_quantile_boost(df, ["x1", "x2"], "y", 0.5, n_estimators=2, max_depth=2)
@@ -94,7 +82,7 @@ def test_boosting_keeps_one_frame_and_no_tree_files(spark):
     df = _frame(spark, 300)
     held = spark.sparkContext._jsc.getPersistentRDDs
     before = len(held())
-    fit_quantile_boost(df, ["x1", "x2"], "y", 0.5, n_estimators=6, max_depth=2, checkpoint_every=2)
+    fit_quantile_boost(df, ["x1", "x2"], "y", 0.5, n_estimators=6, max_depth=2, rewrite_every=2)
     assert len(held()) <= before
     folder = checkpoint_dir(spark).removeprefix("file:")
     assert not [f for f in os.listdir(folder) if f.startswith("tree-")]
