@@ -23,6 +23,7 @@ Only trees, counts and chosen splits reach the driver.
 from __future__ import annotations
 
 import json
+import math
 import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
@@ -42,6 +43,8 @@ from costlens.plans.materialise import materialise
 # Rows of a node that one task takes to finish the subtree under it (25 bytes a row and some features).
 LOCAL_ROWS = 200_000
 MAX_BINS = 64
+# Rows times models of a row from which another task of a scan pays off (a small table is one task).
+ROWS_A_TASK = 20_000
 
 
 @dataclass
@@ -243,7 +246,8 @@ class BoostBatch:
         rows = materialise(rows.na.drop(subset=[*binned, names.y, names.w]))
         self.edges = bin_edges(rows, binned, max_bins)
         self.bins = [len(e) + 1 for e in self.edges]
-        spread = max(rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism)
+        most = max(rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism)
+        spread = max(1, min(most, math.ceil(rows.count() * self.width / ROWS_A_TASK)))
         self.table = materialise(_binned(rows.repartition(spread), binned, self.edges, names.x)).persist()
         sizes = [tuple(r) for r in self.table.groupBy(names.group, names.fold).count().collect()]
         self.counts = [float(sum(n for g, f, n in sizes if s.group in (None, g) and (s.fold is None or f != s.fold)))

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costlens import config as C
 from costlens.operators.quantiles import exact_quantiles
+from costlens.operators.ranking import exact_rank
+from costlens.plans.materialise import broadcast_if_small
 
 WINSORISE_MODES = ("none", "upper", "lower", "both")
 
@@ -43,15 +45,16 @@ def iqr_bounds(df: DataFrame, groups: Sequence[str], target: str, k: float = C.I
 def treat_outliers(df: DataFrame, groups: Sequence[str], target: str, mode: str = C.WINSORISE_MODE,
                    k: float = C.IQR_MULTIPLIER, probs: Sequence[float] = (0.25, 0.75),
                    keep_bounds: bool = False,
-                   prepare_bounds=None) -> DataFrame:
+                   prepare_bounds=broadcast_if_small) -> DataFrame:
     """Remove or cap ``target`` outside the per-group IQR fences (inclusive).
 
     Rows with a null group key are dropped in every mode. Modes: ``none``
     drops both tails; ``upper`` caps high values and drops low ones;
     ``lower`` caps low values and drops high ones; ``both`` caps both tails;
-    any other text leaves the rows unchanged. ``prepare_bounds`` may wrap the
-    one-row-per-group statistics before the join (e.g. a size-checked
-    broadcast).
+    any other text leaves the rows unchanged. ``prepare_bounds`` wraps the
+    one-row-per-group statistics before the join: a size-checked broadcast,
+    so that a large group is not shuffled to one task (None: the planner's
+    join). The rows are read three times; pass a written table.
     """
     df = df.na.drop(how="any", subset=list(groups))
     bounds = iqr_bounds(df, groups, target, k, probs)
@@ -77,11 +80,10 @@ def group_distinct_rank(df: DataFrame, groups: Sequence[str], key: str,
     """Distinct ``key`` count per group, numbered 1..G by (count, group values)
     ascending, with a text label ``{prefix}{n}``.
 
-    The numbering window runs over the grouped table (one row per group),
-    never over the rows themselves.
+    The groups are numbered by ranges (see ``exact_rank``), so however many
+    there are, no task numbers all of them.
     """
     counts = df.na.drop(how="any", subset=list(groups)).groupBy(*groups).agg(
         F.countDistinct(key).cast("bigint").alias("n_distinct"))
-    w = Window.orderBy(F.col("n_distinct"), *[F.col(g).asc_nulls_last() for g in groups])
-    return (counts.withColumn("group_rank", F.row_number().over(w).cast("bigint"))
-                  .withColumn("group_label", F.concat(F.lit(label_prefix), F.col("group_rank").cast("string"))))
+    ranked = exact_rank(counts, ["n_distinct", *groups], out="group_rank").withColumn("group_rank", F.col("group_rank") + 1)
+    return ranked.withColumn("group_label", F.concat(F.lit(label_prefix), F.col("group_rank").cast("string")))

@@ -13,6 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from costlens.operators.ranking import free_names
+from costlens.plans.materialise import broadcast_if_small, materialise
 
 ACCURACY = 10_000
 
@@ -79,3 +83,38 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, p
 
     per = per.select(*groups, F.transform("_b", quantile).alias("_q"))
     return per.select(*groups, *[F.get("_q", i).alias(f"q{i}") for i in range(len(probs))])
+
+
+def weighted_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, weight: str | Column,
+                       probs: Sequence[float]) -> DataFrame:
+    """Per group the weighted quantiles of ``value`` as columns q0, q1, ...: the least value at which the weight at or
+    below it reaches that share of the group's weight.
+
+    Exact for weights whose sums are (whole numbers); rows with a null value,
+    or a null, zero or negative weight are left out, and a group of such rows
+    only has none. Equal values are one row, dealt by range of (group, value);
+    the weights of the ranges before tell which range holds a quantile, and
+    only in those ranges weights are summed row by row.
+    """
+    v, w = ((F.col(c) if isinstance(c, str) else c).cast("double") for c in (value, weight))
+    val, wt, part, base, total, upto, prob = free_names(list(groups), "_v", "_w", "_part", "_base", "_total", "_upto", "_p")
+    sums = df.select(*groups, v.alias(val), w.alias(wt)).where(F.col(val).isNotNull() & (F.col(wt) > 0)).groupBy(*groups, val).agg(
+        F.sum(wt).alias(wt))
+    keys = [F.col(g).asc_nulls_first() for g in groups] + [F.col(val)]
+    rows = materialise(sums.repartitionByRange(*keys).withColumn(part, F.spark_partition_id()))
+    before = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    spans = rows.groupBy(*groups, part).agg(F.sum(wt).alias(wt)).select(
+        *groups, part, wt, F.coalesce(F.sum(wt).over(before), F.lit(0.0)).alias(base), F.sum(wt).over(Window.partitionBy(*groups)).alias(total))
+    need = F.col(prob)["p"] * F.col(total) * (1 - 1e-12)
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
+    spans = spans.withColumn(prob, wanted).where((F.col(base) < F.greatest(need, F.lit(1e-300))) & (need <= F.col(base) + F.col(wt)))
+    spans = broadcast_if_small(spans.drop(wt)).alias("s")
+    on = F.col(f"r.{part}") == F.col(f"s.{part}")
+    for g in groups:
+        on = on & F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}"))
+    inside = rows.alias("r").join(spans, on).select(*[F.col(f"r.{g}") for g in groups], F.col(f"r.{part}"), F.col(f"r.{val}"),
+                                                    F.col(f"r.{wt}"), F.col(f"s.{base}"), F.col(f"s.{total}"), F.col(f"s.{prob}"))
+    running = Window.partitionBy(*groups, part, prob).orderBy(val).rowsBetween(Window.unboundedPreceding, 0)
+    hit = inside.withColumn(upto, F.col(base) + F.sum(wt).over(running)).where(F.col(upto) >= need)
+    cols = [F.min(F.when(F.col(prob)["i"] == i, F.col(val))).alias(f"q{i}") for i in range(len(probs))]
+    return hit.groupBy(*groups).agg(*cols) if groups else hit.agg(*cols)

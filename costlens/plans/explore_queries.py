@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from costlens.functions.expressions import bin_up, days_since
 from costlens.operators import explore as X
 from costlens.operators.features import one_hot
-from costlens.operators.split import assign_folds, train_test_flag
+from costlens.operators.quantiles import weighted_quantiles
+from costlens.operators.split import assign_equal_folds, assign_folds, train_test_flag
+from costlens.plans.materialise import materialise
 from costlens.plans.metric_queries import rounded
 from costlens.plans.registry import query
 from costlens.sources.fixtures import fixture, with_fixtures
@@ -203,6 +205,32 @@ def q_kfold_assign(spark, sf_dir):
     return assign_folds(units, "unit_id", 5, 42)
 
 
+@query("kfold_equal", with_fixtures("""
+SELECT unit_id, CAST((row_number() OVER (ORDER BY CAST(('0x' || substr(md5('42|' || CAST(unit_id AS VARCHAR)), 1, 8)) AS BIGINT), unit_id) - 1)
+       % 5 AS INTEGER) AS fold
+FROM (SELECT DISTINCT unit_id FROM inst) t
+""", "inst"))
+def q_kfold_equal(spark, sf_dir):
+    """Five folds of units in hash order, their sizes equal but for one."""
+    units = materialise(_inst(spark, sf_dir).select("unit_id").distinct())
+    return assign_equal_folds(units, "unit_id", 5, 42)
+
+
+@query("weighted_quantiles", with_fixtures("""
+WITH w AS (SELECT property_type, age_band, cost, CASE WHEN event_date >= DATE '1996-01-01' THEN 2 ELSE 1 END AS w FROM inst WHERE cost IS NOT NULL),
+s AS (SELECT property_type, age_band, cost, sum(w) AS w FROM w GROUP BY ALL),
+c AS (SELECT *, sum(w) OVER (PARTITION BY property_type, age_band ORDER BY cost) AS upto, sum(w) OVER (PARTITION BY property_type, age_band) AS total FROM s)
+SELECT property_type, age_band, round(min(cost) FILTER (upto >= 0.1 * total), 4) AS q10, round(min(cost) FILTER (upto >= 0.5 * total), 4) AS q50,
+       round(min(cost) FILTER (upto >= 0.9 * total), 4) AS q90
+FROM c GROUP BY property_type, age_band
+""", "inst"))
+def q_weighted_quantiles(spark, sf_dir):
+    """10, 50 and 90 % points of the cost by type and band, late events counting twice."""
+    inst = _inst(spark, sf_dir).withColumn("w", F.when(F.col("event_date") >= F.lit("1996-01-01").cast("date"), 2).otherwise(1))
+    out = weighted_quantiles(inst, ["property_type", "age_band"], "cost", "w", [0.1, 0.5, 0.9])
+    return out.select("property_type", "age_band", *[F.round(f"q{i}", 4).alias(n) for i, n in enumerate(("q10", "q50", "q90"))])
+
+
 @query("train_test_split", with_fixtures("""
 SELECT unit_id, CAST(('0x' || substr(md5('42|' || CAST(unit_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS is_test
 FROM (SELECT DISTINCT unit_id FROM inst) t

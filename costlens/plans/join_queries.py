@@ -8,6 +8,7 @@ from costlens.functions.expressions import cap_value
 from costlens.operators import lookup as L
 from costlens.operators.indexation import adjust_costs, quarterly_factors
 from costlens.operators.outliers import group_distinct_rank, treat_outliers
+from costlens.plans.materialise import materialise
 from costlens.plans.registry import query
 from costlens.sources.fixtures import fixture, with_fixtures
 
@@ -46,7 +47,7 @@ def _outlier_query(mode, target, expr, cond, name=None):
 
     @query(name or f"winsorise_{mode}", sql)
     def q(spark, sf_dir):
-        df = _outlier_base(spark, sf_dir)
+        df = materialise(_outlier_base(spark, sf_dir).select(*ID_COLS, *GROUPS, target))
         out = treat_outliers(df, GROUPS, target, mode)
         return out.select(*ID_COLS, F.round(target, 4).alias(target))
 

@@ -168,10 +168,15 @@ def q_residual_report(spark, sf_dir):
                      F.col("q2").alias("q3"), "whisker_low", "whisker_high", "n"))
 
 
+@once
+def point_folds(spark, sf_dir):
+    return materialise(point_predictions(_weighted(spark, sf_dir), "unit_id", FEATURES, "cost", ["event_date", *FEATURES],
+                                         weight_col="weight"))
+
+
 @once
 def point_fold_metrics(spark, sf_dir):
-    preds = point_predictions(_weighted(spark, sf_dir), "unit_id", FEATURES, "cost", ["event_date", *DUMMIES], weight_col="weight")
-    return materialise(point_metrics(materialise(preds), DUMMIES, "event_date", LATE))
+    return materialise(point_metrics(point_folds(spark, sf_dir), DUMMIES, "event_date", LATE))
 
 
 @query("cross_validate_point")
@@ -189,7 +194,7 @@ def q_summary_per_feature(spark, sf_dir):
 @query("residual_interval")
 def q_residual_interval(spark, sf_dir):
     """5-fold interval metrics of the point model plus linear quantiles of its residuals."""
-    return residual_intervals(_weighted(spark, sf_dir), "unit_id", FEATURES, "cost", weight_col="weight")
+    return residual_intervals(point_folds(spark, sf_dir), FEATURES)
 
 
 @query("baseline_models")
@@ -309,7 +314,8 @@ CANDIDATES, CHUNK = 200, 25
 def _choice(at, values, after):
     """SQL: the entry of ``values`` that combination ``i`` has, ``after`` combinations of later choices."""
     case = " ".join(f"WHEN {j} THEN {'NULL' if v is None else repr(v)}" for j, v in enumerate(values))
-    return f"CASE (i // {after}) % {len(values)} {case} END AS {at}"
+    expr = f"CASE (i // {after}) % {len(values)} {case} END"
+    return f"CAST({expr} AS DOUBLE) AS {at}" if isinstance(values[0], float) else f"{expr} AS {at}"
 
 
 def _choice_list():

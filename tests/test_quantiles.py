@@ -45,3 +45,36 @@ def test_a_hot_group_is_not_gathered(spark):
     assert "percentile(" not in plan._jdf.queryExecution().executedPlan().toString()
     exact = df.where("g = 0").agg(F.percentile("v", 0.5)).first()[0]
     assert plan.where("g = 0").first()["q0"] == exact
+
+
+def test_weighted_quantiles_against_a_loop(spark):
+    import numpy as np
+    import pandas as pd
+
+    from costlens.operators.quantiles import weighted_quantiles
+
+    rng = np.random.default_rng(8)
+    d = pd.DataFrame({"g": rng.choice(["a", "b", "hot"], 3000, p=[0.1, 0.1, 0.8]), "v": rng.normal(0, 5, 3000).round(2), "w": rng.integers(0, 4, 3000)})
+    d.loc[d.index % 50 == 0, "v"] = np.nan
+    df = spark.createDataFrame(d).selectExpr("nullif(g, 'b') AS g", "nullif(v, double('nan')) AS v", "w").repartition(5)
+    df = df.unionByName(spark.createDataFrame([("none", None, 1), ("none", 2.0, 0), ("one", 4.0, 2)], df.schema))
+    probs = [0.0, 0.1, 0.5, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(4)] for r in weighted_quantiles(df, ["g"], "v", "w", probs).collect()}
+    assert set(got) == {"a", None, "hot", "one"} and got["one"] == [4.0] * 4
+    for g, name in (("a", "a"), (None, "b"), ("hot", "hot")):
+        part = d[(d.g == name) & d.v.notna() & (d.w > 0)].sort_values("v")
+        sums = part.w.cumsum().to_numpy()
+        assert got[g] == [part.v.to_numpy()[np.searchsorted(sums, p * sums[-1] * (1 - 1e-12))] for p in probs]
+    whole = weighted_quantiles(df, [], "v", "w", [0.5]).first()["q0"]
+    part = d[d.v.notna() & (d.w > 0)].sort_values("v")
+    assert abs(whole - part.v.to_numpy()[np.searchsorted(part.w.cumsum(), 0.5 * part.w.sum())]) < 0.05
+
+
+def test_equal_folds(spark):
+    from costlens.operators.split import assign_equal_folds
+
+    df = spark.range(103).selectExpr("nullif(id, 5) AS k").repartition(6)
+    folds = assign_equal_folds(df, "k", 5)
+    assert sorted(r["count"] for r in folds.groupBy("fold").count().collect()) == [20, 20, 21, 21, 21]
+    again = assign_equal_folds(df.repartition(2), "k", 5)
+    assert sorted(map(str, folds.collect())) == sorted(map(str, again.collect()))
