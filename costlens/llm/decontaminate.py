@@ -142,10 +142,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs``, all their columns, that share no window with an item.
 
     A verdict hangs on the text alone, so rows are dropped by the digest of
-    their text: ids may be null or repeated, ``id_col`` is not read.
+    their text: ids may be null or repeated, ``id_col`` is not read. Null and
+    empty texts have no words and stay. Other columns may have any names.
     """
-    digest = F.sha1(F.col(text_col))
-    texts = docs.select(digest.alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.sha1(F.col(text_col)).alias("doc_id"), F.col(text_col).alias("text"))
     bad = contamination(texts, items, window=window).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
     bad = broadcast_small(stash(bad, "contaminated"))
-    return docs.join(bad, digest == F.col("_bad"), "left_anti")
+    return docs.alias("d").join(bad.alias("b"), F.sha1(F.col(f"d.{text_col}")) == F.col("b._bad"), "left_anti")

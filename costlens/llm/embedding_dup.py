@@ -17,6 +17,7 @@ links leave a task, so a hot bucket makes no pairs.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,24 @@ def fit_codes(x: np.ndarray, threshold: float, bits: int = BITS, part: int = PAR
     return centre, projection, recall
 
 
+def fit_tables(x: np.ndarray, threshold: float, part: int = PART) -> tuple[np.ndarray, np.ndarray, int]:
+    """Centre, projection and bits of a table: the largest tables of at most ``part`` bits that reach the recall.
+
+    Narrower tables bring more pairs together, at more work. If no width
+    reaches RECALL on the sample, a warning says so and the best is taken.
+    """
+    tried = []
+    for bits in dict.fromkeys((part, *(b for b in (12, 8, 4) if b < part))):
+        centre, projection, recall = fit_codes(x, threshold, BITS, bits)
+        tried.append((recall, bits, centre, projection))
+        if recall >= RECALL:
+            break
+    recall, bits, centre, projection = max(tried, key=lambda t: (min(t[0], RECALL), t[1]))
+    if recall < RECALL:
+        warnings.warn(f"tables of {bits} bits reach a recall of {recall:.3f} on the sample, under {RECALL}", stacklevel=2)
+    return centre, projection, bits
+
+
 def codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
     """64-bit code of each row; bits beyond the projection's are 0."""
     on = ((x - mean) @ projection >= 0).astype(np.uint64)
@@ -174,8 +193,11 @@ def _compare(threshold: float, tables: int, part: int):
             own = np.arange(start[r], start[r] + stored[r])
             for a in range(start[r] + stored[r], start[r] + stored[r] + asking[r], 1024):
                 q = np.arange(a, min(a + 1024, start[r] + stored[r] + asking[r]))
-                x, y = np.nonzero(vec[q] @ vec[own].T >= threshold)
-                i, j = links(q[x], own[y], np.ones(len(x)))
+                # The product may part from the sum over a pair in the last bits, so pairs near the bound are summed one by one.
+                x, y = np.nonzero(vec[q] @ vec[own].T >= threshold - 1e-9)
+                got = [links(q[x[a]], own[y[a]], np.einsum("ij,ij->i", vec[q[x[a]]], vec[own[y[a]]]))
+                       for a in np.array_split(np.arange(len(x)), max(1, len(x) // PAIRS))]
+                i, j = (np.concatenate(z) for z in zip(*got))
                 if len(i):
                     label, out = found(i, j, label)
                     yield out
@@ -225,7 +247,7 @@ def near_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     classes = stash(classes, "classes")
     drawn = classes.select("e", F.xxhash64("key", "rep").alias("h")).orderBy("h").limit(sample).collect()
     width = classes.agg(F.max(F.size("e"))).first()[0] or 1
-    mean, projection, _ = fit_codes(_matrix([r["e"] for r in drawn], width), threshold, BITS, part)
+    mean, projection, part = fit_tables(_matrix([r["e"] for r in drawn], width), threshold, part)
     tables = -(-projection.shape[1] // part)
     model = spark.sparkContext.broadcast((mean, projection))  # width * BITS numbers
 

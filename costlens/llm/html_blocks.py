@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 # Elements whose content is raw text up to their end tag and no text of the page.
 _RAW = frozenset("script style textarea title iframe".split())
@@ -40,16 +42,63 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"\b(class|id|role|data-y)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 
 
+# Slots of the tag-path vector.
+PATH_DIM = 256
+
+
+def _slot(word: str) -> int:
+    return 1 << zlib.crc32(word.encode("utf-8", "surrogatepass")) % PATH_DIM
+
+
+@lru_cache(maxsize=1 << 14)
+def _own_slots(names: str) -> tuple[int, int]:
+    """Slots, as bits, of an element's tag and words, and of its tag as the innermost one."""
+    tag, *rest = names.split(" ")
+    own = _slot("<" + tag)
+    for w in rest:
+        own |= _slot(w)
+    return own, _slot("<<" + tag)
+
+
+class Path:
+    """An element with a link to the one around it, so that blocks share what their paths have in common.
+
+    ``slots`` are the slots of all elements of the path, as bits; ``depth``
+    elements long paths take no more room than short ones.
+    """
+
+    __slots__ = ("parent", "names", "slots")
+
+    def __init__(self, parent: Path | None, names: str):
+        self.parent, self.names = parent, names
+        self.slots = _own_slots(names)[0] | (parent.slots if parent else 0)
+
+    def vector_bits(self) -> int:
+        """Set positions of the path: every element's tag, the innermost one's again, and all class, id and role words."""
+        return self.slots | _own_slots(self.names)[1]
+
+    def elements(self) -> tuple[str, ...]:
+        out, at = [], self
+        while at:
+            out.append(at.names)
+            at = at.parent
+        return tuple(reversed(out))
+
+
 @dataclass
 class Block:
-    """One run of text: its path of elements, the words, how many of its characters are link text, and a label."""
+    """One run of text: its innermost element, the words, how many of its characters are link text, and a label."""
 
-    path: tuple[str, ...]
+    within: Path | None
     text: str
     linked: int
     label: int = 0
     tags: int = field(default=0)
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.within.elements() if self.within else ()
+
 
 def _names(tag: str, attrs: str, marked: bool) -> tuple[str, int | None]:
     """Tag with its class, id and role words, and the training label if the page is ``marked`` and one is set."""
@@ -72,14 +121,17 @@ def blocks(page: str | None, marked: bool = True) -> list[Block]:
     titles, text fields, frames) is left out up to its end tag, or to the
     page's end as browsers do; text in any other element is kept with its path.
     The training marks data-y=0 and data-y=1 are read only where ``marked``,
-    which is for composed pages.
+    which is for composed pages. Time and memory grow with the page, however
+    deep its elements are nested.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str, int, bool]] = []  # tag, names, label, whether it stands in a line
+    stack: list[tuple[str, Path, int, bool]] = []  # tag, path, label, whether it stands in a line
+    opened: dict[str, int] = {}  # open elements by tag
+    context: list[int] = []  # places of open svg elements and of those in them that hold HTML
     owner: tuple | None = None  # the element of the text that waits
-    path: tuple[str, ...] = ()
+    path: Path | None = None
     text: list[str] = []
-    linked = tags = in_link = n_svg = 0
+    linked = tags = in_link = 0
     page = page or ""
 
     def flush():
@@ -98,13 +150,15 @@ def blocks(page: str | None, marked: bool = True) -> list[Block]:
                 if any(not x.isspace() for x in text):
                     flush()
                 owner = top
-            path = tuple(x[1] for x in stack)
+            path = top[1] if top else None
         text.append(piece)
         linked += in_link * len(piece)
 
     def cut(at: int):
-        nonlocal n_svg
-        n_svg -= sum(x[0] == "svg" for x in stack[at:])
+        for x in stack[at:]:
+            opened[x[0]] -= 1
+        while context and context[-1] >= at:
+            context.pop()
         del stack[at:]
 
     def close(at: int):
@@ -114,11 +168,7 @@ def blocks(page: str | None, marked: bool = True) -> list[Block]:
         in_link = 0
 
     def in_svg() -> bool:
-        if n_svg:
-            for x in reversed(stack):
-                if x[0] == "svg" or x[0] in _HTML_IN_SVG:
-                    return x[0] == "svg"
-        return False
+        return bool(context) and stack[context[-1]][0] == "svg"
 
     at = 0
     while m := _TOKEN.search(page, at):
@@ -145,18 +195,19 @@ def blocks(page: str | None, marked: bool = True) -> list[Block]:
                 in_link = 0 if m["end"] else 1
             continue
         if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    cut(i) if stack[i][3] else close(i)
-                    break
-            else:
+            if not opened.get(tag):
                 flush()
+                continue
+            i = len(stack) - 1
+            while stack[i][0] != tag:
+                i -= 1
+            cut(i) if stack[i][3] else close(i)
             continue
         if tag in _VOID:
             flush()
             continue
         while tag in _ENDS_SVG and in_svg():
-            close(max(i for i, x in enumerate(stack) if x[0] == "svg"))
+            close(context[-1])
         in_line = tag in _IN_LINE or in_svg()
         if in_line and closed and (tag == "svg" or in_svg()):
             continue
@@ -165,9 +216,11 @@ def blocks(page: str | None, marked: bool = True) -> list[Block]:
             while stack and stack[-1][0] in ends:
                 close(len(stack) - 1)
             flush()
-        n_svg += tag == "svg"
         names, label = _names(tag, m["attrs"], marked)
-        stack.append((tag, names, (stack[-1][2] if stack else 0) if label is None else label, in_line))
+        opened[tag] = opened.get(tag, 0) + 1
+        if tag == "svg" or (tag in _HTML_IN_SVG and opened.get("svg")):
+            context.append(len(stack))
+        stack.append((tag, Path(stack[-1][1] if stack else None, names), (stack[-1][2] if stack else 0) if label is None else label, in_line))
     if at < len(page):
         add(page[at:])
     flush()

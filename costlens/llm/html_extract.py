@@ -14,7 +14,6 @@ corpus's pages that mark their article themselves.
 from __future__ import annotations
 
 import pickle
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -24,12 +23,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costlens.llm.html_blocks import Block, blocks
+from costlens.llm.html_blocks import PATH_DIM, Block, blocks
 from costlens.llm.shingles import word_hashes
 
 # Pages that the labeller is trained on: sampled ones (of at most SAMPLE_CHARS characters) and composed ones.
 SAMPLE, SAMPLE_CHARS, COMPOSED = 150, 50_000, 1500
-PATH_DIM, WORD_DIM, N_MEASURES = 256, 32, 10
+WORD_DIM, N_MEASURES = 32, 10
 DIM = PATH_DIM + WORD_DIM + N_MEASURES
 HIDDEN = 24
 # Blocks of pages that are labelled together, and blocks of a page that are taken at a time.
@@ -57,13 +56,8 @@ _OTHER_WORDS = frozenset(w for names in (NOTICE_NAMES, HEADER_NAMES, MENU_NAMES,
 
 
 @lru_cache(maxsize=1 << 14)
-def _path_slots(path: tuple[str, ...]) -> np.ndarray:
-    """Set positions of a tag path: every element's tag, the innermost one's again, and all class, id and role words."""
-    words = ["<<" + path[-1].split(" ")[0]] if path else []
-    for names in path:
-        tag, *rest = names.split(" ")
-        words += ["<" + tag, *rest]
-    return np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % PATH_DIM for w in words], dtype=np.int64)
+def _path_vector(bits: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bits.to_bytes(PATH_DIM // 8, "little"), dtype=np.uint8), bitorder="little")
 
 
 def block_vectors(page: list[Block], lo: int = 0, hi: int | None = None) -> np.ndarray:
@@ -73,7 +67,8 @@ def block_vectors(page: list[Block], lo: int = 0, hi: int | None = None) -> np.n
     if not page:
         return x
     for i, b in enumerate(page):
-        x[i, _path_slots(b.path)] = 1
+        if b.within:
+            x[i, :PATH_DIM] = _path_vector(b.within.vector_bits())
     n = np.array([b.text.count(" ") + 1 for b in page])
     chars = np.array([len(b.text) for b in page])
     words = word_hashes(" ".join(b.text for b in page)) >> np.uint64(59)  # 32 slots
@@ -363,11 +358,18 @@ class _Composer:
 def marked_labels(page: list[Block]) -> np.ndarray | None:
     """Labels of a page that marks its article by tag; None if it does not."""
     y = np.zeros(len(page), dtype=np.float32)
+    known: dict[int, tuple[bool, bool]] = {}  # by element: inside the article, inside something else
     for i, b in enumerate(page):
-        tags = [names.split(" ")[0] for names in b.path]
-        words = {w for names in b.path for w in names.split(" ")[1:]}
-        inside = max((tags.index(t) for t in MAIN_TAGS if t in tags), default=None)
-        y[i] = inside is not None and not set(tags) & set(OTHER_TAGS) and not words & _OTHER_WORDS
+        way, at = [], b.within
+        while at and id(at) not in known:
+            way.append(at)
+            at = at.parent
+        main, other = known[id(at)] if at else (False, False)
+        for at in reversed(way):
+            tag, *words = at.names.split(" ")
+            main, other = main or tag in MAIN_TAGS, other or tag in OTHER_TAGS or not _OTHER_WORDS.isdisjoint(words)
+            known[id(at)] = main, other
+        y[i] = main and not other
     return y if y.any() else None
 
 

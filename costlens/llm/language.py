@@ -5,8 +5,8 @@ case; anything else is a word boundary), hashed into ``DIM`` dimensions,
 damped by the logarithm, weighted by inverse document frequency and scaled to
 length 1. Every language has several centroids, found by spherical k-means
 over a bounded sample of labelled texts. A text gets the language of the
-centroid with the largest cosine, and is rejected when it lies farther from
-that language than any of the language's sample texts did, with some slack.
+centroid with the largest cosine, and is rejected when it lies much farther
+from that language than nearly all of the language's sample texts did.
 """
 
 from __future__ import annotations
@@ -20,14 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from costlens.llm.common import filter_by_text
+from costlens.llm.common import broadcast_small, filter_by_text, stash
 
 DIM = 8192
 CENTROIDS = 4
 # Labelled texts of a language that the model is fitted on, at most.
 SAMPLE = 600
-# A language's radius is this share of the least cosine of its sample.
-SLACK = 0.5
+# A centroid holds this share of its language's sample at least, or is given up.
+LEAST_SHARE = 0.05
+# A language's radius is this share of the cosine that all but the share TAIL of its sample reach.
+SLACK, TAIL = 0.6, 0.01
 SHARPNESS = 25.0
 NO_LANGUAGE = "und"
 JUDGED = ["lang_pred", "score", "cosine", "rejected"]
@@ -71,15 +73,35 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=-1, keepdims=True), 1e-12)
 
 
-def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """k centroids of unit rows; starts are the rows farthest from those chosen so far, so runs agree."""
+def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, tries: int = 8, seed: int = 11) -> np.ndarray:
+    """At most k centroids of unit rows, none of less than LEAST_SHARE of the rows if k > 1.
+
+    Starts are drawn with a chance that grows with the distance from those
+    drawn before (k-means++); a centroid of too few rows starts anew at a row
+    drawn from the largest cluster, and is dropped if it stays small. The
+    draws are seeded, so runs agree.
+    """
+    rng = np.random.default_rng(seed)
     chosen = [int(np.argmax(x @ _unit(x.mean(axis=0))))]
     while len(chosen) < min(k, len(x)):
-        chosen.append(int(np.argmin((x @ x[chosen].T).max(axis=1))))
+        far = np.clip(1 - (x @ x[chosen].T).max(axis=1), 0, None)
+        if far.sum() <= 1e-9:
+            break  # fewer different rows than centroids
+        chosen.append(int(rng.choice(len(x), p=far / far.sum())))
     c = x[chosen]
-    for _ in range(rounds):
-        best = np.argmax(x @ c.T, axis=1)
-        c = _unit(np.stack([x[best == j].mean(axis=0) if (best == j).any() else c[j] for j in range(len(c))]))
+    for t in range(tries):
+        for _ in range(rounds):
+            best = np.argmax(x @ c.T, axis=1)
+            c = _unit(np.stack([x[best == j].mean(axis=0) if (best == j).any() else c[j] for j in range(len(c))]))
+        size = np.bincount(np.argmax(x @ c.T, axis=1), minlength=len(c))
+        small = np.flatnonzero(size < LEAST_SHARE * len(x))
+        if len(c) == 1 or not len(small):
+            break
+        if t == tries - 1:
+            c = np.delete(c, small, axis=0) if len(small) < len(c) else c[[int(size.argmax())]]
+            break
+        largest = np.flatnonzero(np.argmax(x @ c.T, axis=1) == size.argmax())
+        c[small] = x[rng.choice(largest, len(small))]
     return c
 
 
@@ -120,29 +142,28 @@ class LanguageModel:
 
 
 def _sample(rows: DataFrame, per_language: int) -> DataFrame:
-    """At most ``per_language`` labelled rows of each language, chosen by a hash of id and text.
+    """At most ``per_language`` different labelled texts (lang, text) of each language, those with the least hashes.
 
-    The shares come from counts over all rows, so about twice the wanted
-    rows are ranked, whatever the size of the table.
+    However often a text is repeated, it counts once. Only languages and
+    hashes are ranked, and of those each task sends its least ones only.
     """
-    n = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    share = F.lit(0.0)
-    for lang, count in n.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 2 * per_language / count))).otherwise(share)
-    h = F.xxhash64("id", "text")
-    near = rows.withColumn("h", h).where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= per_language)
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    least = hashed.distinct().withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    least = broadcast_small(stash(least, "sampled-texts")).alias("b")
+    texts = rows.alias("a").join(least, (F.col("a.lang") == F.col("b.lang")) & (F.xxhash64("a.text") == F.col("b.h")))
+    return texts.groupBy(F.col("a.lang").alias("lang"), F.col("b.h").alias("h")).agg(F.min("a.text").alias("text"))
 
 
 def fit_language_model(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
                        lang_col: str = "lang", per_language: int = SAMPLE, k: int = CENTROIDS) -> LanguageModel:
     """Fit on ``per_language`` texts at most of each language among the rows where ``train`` holds.
 
-    Rows with a null text or language are left out; without any labelled
-    text the model has no languages.
+    Rows with a null text or language are left out, and repeated texts of a
+    language count once; without any labelled text the model has no
+    languages. Ids are read by ``train`` only; other columns not at all.
     """
-    rows = docs.where(train).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = docs.where(train).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where("text is not null and lang is not null")
 
     def grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,7 +188,7 @@ def fit_language_model(docs: DataFrame, train: Column, id_col: str = "doc_id", t
             x[i, a] = t
         x = _unit(x * idf)
         c = spherical_kmeans(x, k)
-        least = float((x @ c.T).max(axis=1).min())
+        least = float(np.quantile((x @ c.T).max(axis=1), TAIL))
         return pd.DataFrame({"lang": f["lang"].iloc[0], "centroid": list(c), "least": least})
 
     found = feats.groupBy("lang").applyInPandas(cluster, "lang string, centroid array<float>, least double").collect()
@@ -199,6 +220,6 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
 
 
 def drop_unidentified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is not rejected."""
+    """The rows of ``docs``, all columns, whose text is not rejected; null texts and texts without a letter go."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return filter_by_text(docs, text_col, lambda texts: ~sent.value.judge(texts)["rejected"].to_numpy())

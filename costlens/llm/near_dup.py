@@ -230,17 +230,25 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          percent: int = 80) -> DataFrame:
     """One row of each component, with all columns of ``docs``; rows with a null id stay.
 
-    The smallest id stays; of repeated rows of that id, one.
+    The smallest id stays; of repeated rows of that id, one: of several texts
+    under it (which count as one document) that with the least digest, null
+    last. Null and empty texts are in no group but their id's. Other columns
+    may have any names.
     """
     found = stash(_components(docs, id_col, text_col, percent), "components")
     drop = found.where("not kept").select(F.col("doc_id").alias("_drop")).distinct()
     drop = broadcast_small(stash(drop, "dropped"))
-    left = docs.join(drop, F.col(id_col).cast("long") == F.col("_drop"), "left_anti")
+    mine = F.col(f"d.{id_col}").cast("long")
+    left = docs.alias("d").join(drop.alias("b"), mine == F.col("b._drop"), "left_anti")
     again = stash(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(
         F.col("doc_id").alias("_again")), "repeated")
     if again.isEmpty():
         return left
-    again = broadcast_small(again)
-    same = F.col(id_col).cast("long") == F.col("_again")
-    return left.join(again, same, "left_anti").unionByName(
-        left.join(again, same, "left_semi").dropDuplicates([id_col]))
+    again = broadcast_small(again).alias("b")
+    same = mine == F.col("b._again")
+    repeats = left.alias("d").join(again, same, "left_semi")
+    digest = F.coalesce(F.sha1(F.col(f"d.{text_col}").cast("string")), F.lit("~"))
+    least = repeats.alias("d").groupBy(mine.alias("_id")).agg(F.min(digest).alias("_digest"))
+    least = broadcast_small(stash(least, "least-text")).alias("b")
+    one = repeats.alias("d").join(least, (mine == F.col("b._id")) & (digest == F.col("b._digest")), "left_semi")
+    return left.alias("d").join(again, same, "left_anti").unionByName(one.dropDuplicates([id_col]))

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from costlens.llm.common import stash
+
 CAPACITY = 2048
 GROUP = 2048
 PIECES = ("doc_id long, piece int, start long, n_tokens int, seq_id string, seq_offset int")
@@ -97,27 +99,34 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     holds ``capacity`` tokens at most and no source or cluster twice; a null
     source or cluster conflicts with nothing. Documents without tokens (null
     or empty) give no piece. Repeated rows are packed each; an empty table
-    gives no rows. The rows' order does not matter but for ties between
-    pieces that are alike in every column.
+    gives no rows. Ids, lengths and digests are computed in one scan and
+    written; pieces are dealt by them and by the number of the copy among equal
+    rows, so the sequences do not hang on the rows' order or partitioning.
+    Other columns are left out.
     """
     text = F.col(text_col)
-    base = docs.select(
+    each = stash(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         (token_count(text) if tokens is None else tokens).cast("long").alias("n"),
         (cluster_key(text) if cluster is None else cluster).cast("string").alias("cluster"),
-        F.monotonically_increasing_id().alias("row")).where("n > 0")
-    groups = max(1, -(-docs.count() // per_group))
+        F.sha1(text.cast("string")).alias("digest")).where("n > 0"), "lengths")
+    groups = max(1, -(-each.count() // per_group))
+    # Equal rows are counted, and come back as copies 0, 1, ...
+    base = each.groupBy(*each.columns).agg(F.count(F.lit(1)).alias("copies")).withColumn(
+        "row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
     c = F.lit(capacity)
     whole = F.floor(F.col("n") / c).cast("int")
     rest = (F.col("n") % c).cast("int")
-    ids = F.coalesce(F.col("doc_id"), -F.col("row"))
     # The rest of each document, or the document itself, is packed; the whole sequences of long ones are not.
     left = base.where(rest > 0).select(
-        F.pmod(F.xxhash64(ids, "row"), F.lit(groups)).cast("int").alias("grp"), "doc_id", whole.alias("piece"),
-        (whole * c).cast("long").alias("start"), rest.alias("n_tokens"), "source", "cluster", "row")
-    left = left.repartition("grp").sortWithinPartitions("grp", F.desc("n_tokens"), "doc_id", "piece", "row")
-    packed = left.drop("row").mapInPandas(_pack_group(capacity), PIECES)
-    full = base.where(whole > 0).select("doc_id", "row", F.explode(F.sequence(F.lit(0), whole - 1)).alias("piece")).select(
+        F.pmod(F.xxhash64("doc_id", "digest", "row"), F.lit(groups)).cast("int").alias("grp"), "doc_id", whole.alias("piece"),
+        (whole * c).cast("long").alias("start"), rest.alias("n_tokens"), "source", "cluster", "digest", "row")
+    left = left.repartition("grp").sortWithinPartitions("grp", F.desc("n_tokens"), "doc_id", "piece", "digest", "source", "cluster", "row")
+    packed = left.drop("digest", "row").mapInPandas(_pack_group(capacity), PIECES)
+    # A sequence's name: id, text, source and number of the copy.
+    name = F.concat_ws("-", F.lit("w"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.substring("digest", 1, 16),
+                       F.hex(F.xxhash64("source", "n", "cluster")), "row")
+    full = base.where(whole > 0).select("doc_id", name.alias("name"), F.explode(F.sequence(F.lit(0), whole - 1)).alias("piece")).select(
         "doc_id", "piece", (F.col("piece") * c).cast("long").alias("start"), F.lit(capacity).alias("n_tokens"),
-        F.concat(F.lit("w"), "row", F.lit("-"), "piece").alias("seq_id"), F.lit(0).alias("seq_offset"))
+        F.concat("name", F.lit("-"), "piece").alias("seq_id"), F.lit(0).alias("seq_offset"))
     return packed.unionByName(full)

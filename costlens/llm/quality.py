@@ -191,7 +191,9 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, train: Column, id_col:
 
     ``train`` is a condition on the id column; rows where it does not hold
     (or is null) teach nothing. Samples are the rows with the smallest hash
-    of their id. The prior counts all training labels.
+    of their id. The prior counts all training labels. An id labelled both 0
+    and 1 is a positive and a negative; null texts count as empty ones.
+    Without positives or without documents every text scores alike.
     """
     known = labels.where(train).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
     n = known.agg(F.count("*"), F.sum("y")).first()
@@ -207,7 +209,9 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, train: Column, id_col:
     wanted = wanted.groupBy("id").agg(F.collect_set("kind").alias("kinds"))  # 3 * sample rows at most
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(wanted.select("id")), "id")
-    got = _featured(texts).dropDuplicates(["id"]).join(wanted, "id").orderBy("id").collect()
+    # Of several texts under one id, the one with the least hash, so that the model does not hang on the layout.
+    texts = texts.groupBy("id").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    got = _featured(texts).join(wanted, "id").orderBy("id").collect()
     x = {k: np.array([r["x"] for r in got if k in r["kinds"]], dtype=np.float64).reshape(-1, N_FEATURES) for k in kinds}
     if not len(x["p"]) or not len(x["u"]):
         return QualityModel(np.zeros(N_FEATURES), np.ones(N_FEATURES),
@@ -236,6 +240,6 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
 
 
 def drop_low_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores at least the decision."""
+    """The rows of ``docs``, all columns, whose text scores at least the decision; null texts score as empty ones."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return filter_by_text(docs, text_col, lambda texts: sent.value.judge(texts) >= DECISION)

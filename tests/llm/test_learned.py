@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from costlens.llm import html_extract, language, quality
+from costlens.llm import language as L
 from costlens.llm import queries as Q
 from costlens.llm.common import table
 from costlens.llm.html_blocks import blocks
+from costlens.llm.html_extract import block_vectors
 
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "12 34 !!"), (5, "x"), (6, "😀 中文"), (7, "word " * 60_000), (7, "word " * 60_000), (None, "some text")]
 
@@ -230,3 +232,60 @@ def test_gradients_of_the_lstm():
         down = loss()
         p[at] = old
         assert abs((up - down) / 2e-4 - g[at]) < 1e-2 * max(1, abs(g[at]))
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 100_000, "<div>" * 5_000 + "</p>x" * 20_000, "<svg>" + "<g>y" * 50_000,
+                                  "<article>" + "<span class=c{0}><div>x" * 30_000])
+def test_deep_pages_take_room_and_time_by_their_length(page):
+    import time
+    import tracemalloc
+
+    tracemalloc.start()
+    began = time.perf_counter()
+    cut = blocks(page)
+    x = block_vectors(cut, 0, 500)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6 and time.perf_counter() - began < 30 and len(x) == min(len(cut), 500)
+
+
+def test_path_vector_is_the_set_of_its_words():
+    import zlib
+
+    from costlens.llm.html_extract import PATH_DIM
+
+    b = blocks('<div class="a b"><ul id=menu><li>one</ul><p role=x>two</div>')
+    for block in b:
+        words = ["<<" + block.path[-1].split(" ")[0]]
+        for names in block.path:
+            words += ["<" + names.split(" ")[0], *names.split(" ")[1:]]
+        want = {zlib.crc32(w.encode()) % PATH_DIM for w in words}
+        assert set(np.flatnonzero(block_vectors([block])[0, :PATH_DIM])) == want
+
+
+def test_a_language_of_one_repeated_row_is_learned(spark):
+    rows = [(i, "der hund und die katze sind im haus", "de") for i in range(3000)]
+    rows += [(5000 + i, f"the dog and the cat number {chr(97 + i % 26)} are in the house", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    for parts in (1, 5):
+        model = L.fit_language_model(docs.repartition(parts), F.lit(True), per_language=20)
+        assert model.languages == ["de", "en"]
+        assert list(model.judge(["die katze und der hund", "the cat and the dog"])["lang_pred"]) == ["de", "en"]
+
+
+def test_centroids_share_their_language_and_foreign_text_is_rejected(spark, sf):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = L.fit_language_model(docs, Q.fold("doc_id", 3) != 1)
+    texts = [tuple(r) for r in docs.select("text", "lang").where("n_chars > 200").limit(2000).collect()]
+    cos = model.vectors([L.gram_counts(t) for t, _ in texts]) @ model.centroids.T
+    for i, lang in enumerate(model.languages):
+        own = np.flatnonzero(model.owner == i)
+        best = cos[[t[1] == lang for t in texts]][:, own].argmax(axis=1)
+        share = np.bincount(best, minlength=len(own)) / len(best)
+        assert len(own) >= 2 and (share > 0.02).sum() >= 2, (lang, share)
+    judged = model.judge([t for t, _ in texts])
+    assert judged["rejected"].mean() < 0.005
+    rng = np.random.default_rng(0)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(300)]
+    foreign = ["".join(chr(c) for c in rng.integers(0x430, 0x450, 400)), " ".join(noise), "漢字" * 50]
+    assert model.judge(foreign)["rejected"].all()

@@ -139,3 +139,38 @@ def test_a_hot_id_of_many_texts_is_cut_into_blocks(spark, prose, monkeypatch):
     docs = [(5, edited(base, 2, i)) for i in range(80)] + [(9, base), (11, prose(60, 2))]
     got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r[0]: r[2] for r in got} == {5: 5, 9: 5, 11: 11}
+
+
+def test_planted_pairs_in_the_given_vectors_are_found(spark):
+    """Pairs at a cosine of 0.9801, added to the real table: recall over the planted ones."""
+    import numpy as np
+
+    from costlens.llm.embedding_dup import near_embeddings
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    rng = np.random.default_rng(4)
+    extra = []
+    for r in rows[:400]:
+        x = np.array(r["embedding"], dtype=np.float64)
+        x /= np.linalg.norm(x)
+        noise = rng.normal(size=len(x))
+        noise -= (noise @ x) * x
+        extra.append((10_000_000 + r["vec_id"], (0.9801 * x + np.sqrt(1 - 0.9801 ** 2) * noise / np.linalg.norm(noise)).tolist(), r["label"]))
+    df = spark.createDataFrame([(r["vec_id"], [float(v) for v in r["embedding"]], r["label"]) for r in rows] + extra,
+                               "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: r["component_id"] for r in near_embeddings(df, threshold=0.98).collect()}
+    found = sum(got[i] == got[i - 10_000_000] for i, _, label in extra if label is not None)
+    assert found >= 0.98 * sum(label is not None for _, _, label in extra)
+
+
+def test_tables_narrow_until_the_recall_is_reached(recwarn):
+    import numpy as np
+
+    from costlens.llm import embedding_dup as E
+
+    x = np.random.default_rng(2).normal(size=(600, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert E.fit_tables(x, 0.98)[2] == E.PART and not recwarn.list
+    assert E.fit_tables(x, 0.9)[2] < E.PART
+    E.fit_tables(x, -0.9)
+    assert any("recall" in str(w.message) for w in recwarn.list)

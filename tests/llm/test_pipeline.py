@@ -65,3 +65,25 @@ def test_empty_documents(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
         assert docs.count() == 0
+
+
+def test_stages_with_clashing_columns_and_rows_under_one_id(spark, sf):
+    from pyspark.sql import functions as F
+
+    from costlens.llm.near_dup import drop_near_duplicates
+
+    docs = table(spark, sf, "documents").limit(60)
+    wide = docs
+    for c in ("_bad", "_drop", "_again", "_id", "_digest", "id", "d", "b", "row", "set_hash", "component", "h", "lang_pred", "score"):
+        wide = wide.withColumn(c, F.lit(c))
+    for name, stage in corpus_pipeline.STAGES:
+        plain, other = stage(spark, docs, sf), stage(spark, wide, sf)
+        if name == "packing":
+            assert sorted(map(str, plain.collect())) == sorted(map(str, other.collect()))
+        else:
+            assert other.columns == wide.columns
+            assert sorted(map(str, plain.collect())) == sorted(map(str, other.select(*docs.columns).collect()))
+
+    several = spark.createDataFrame([(1, t, "en", "s", 1) for t in ("one two three", "zwei drei", "zwei drei", None)] * 3, docs.schema)
+    kept = [drop_near_duplicates(several.repartition(p)).collect() for p in (1, 5)]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] and kept[0][0]["text"] is not None

@@ -220,3 +220,14 @@ def test_embeddings_hot_bucket_in_blocks(spark, monkeypatch):
     want = brute_links(rows[:-1], 0.98)
     assert sum(g[0] for g in got.values()) >= 0.9 * sum(w[0] for w in want.values())
     assert got[500] == (0, 500, True)
+
+
+def test_packing_does_not_hang_on_the_layout(spark, sf):
+    from costlens.llm.common import table
+    from costlens.llm.packing import pack
+
+    docs = table(spark, sf, "documents")
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(20)).unionByName(docs.limit(5).selectExpr(
+        "cast(null AS long) AS doc_id", "text", "lang", "source", "n_chars"))
+    got = [sorted(map(tuple, pack(docs.repartition(p), per_group=64).collect()), key=str) for p in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) > docs.count() * 0.9
