@@ -145,11 +145,15 @@ def _sample(rows: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` different labelled texts (lang, text) of each language, those with the least hashes.
 
     However often a text is repeated, it counts once. Only languages and
-    hashes are ranked, and of those each task sends its least ones only.
+    hashes are ranked, and of those about twice the wanted number, by a share
+    that comes from the count of all different texts.
     """
-    hashed = rows.select("lang", F.xxhash64("text").alias("h"))
+    hashed = stash(rows.select("lang", F.xxhash64("text").alias("h")).distinct(), "text-hashes")
+    bound = F.lit(float(1 << 63)) * 2 * (F.least(F.lit(1.0), 2.0 * per_language / F.col("n")) - 0.5)
+    bounds = broadcast_small(stash(hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")).select("lang", bound.alias("bound"))
+    near = hashed.join(bounds, "lang").where(F.col("h").cast("double") <= F.col("bound")).select("lang", "h")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    least = hashed.distinct().withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    least = near.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
     least = broadcast_small(stash(least, "sampled-texts")).alias("b")
     texts = rows.alias("a").join(least, (F.col("a.lang") == F.col("b.lang")) & (F.xxhash64("a.text") == F.col("b.h")))
     return texts.groupBy(F.col("a.lang").alias("lang"), F.col("b.h").alias("h")).agg(F.min("a.text").alias("text"))
