@@ -29,7 +29,7 @@ SAMPLE = 600
 # A centroid holds this share of its language's sample at least, or is given up.
 LEAST_SHARE = 0.05
 # A language's radius is this share of the cosine that all but the share TAIL of its sample reach.
-SLACK, TAIL = 0.6, 0.01
+SLACK, TAIL = 0.5, 0.01
 SHARPNESS = 25.0
 NO_LANGUAGE = "und"
 JUDGED = ["lang_pred", "score", "cosine", "rejected"]
