@@ -71,7 +71,6 @@ PRICE_INDEX_REFERENCE_YEAR = 2024
 
 # Features fed to the models.
 NUMERIC_FEATURES = ("n_days", "TOTAL_FLOOR_AREA", "NUMBER_HABITABLE_ROOMS")
-CATEGORICAL_TO_DUMMIFY = ("BUILT_FORM", "PROPERTY_TYPE", "CONSTRUCTION_AGE_BAND", "region_name")
 DUMMY_FEATURES = (
     "BUILT_FORM_detached",
     "BUILT_FORM_mid_terrace",

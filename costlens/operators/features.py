@@ -1,8 +1,7 @@
 """Feature building: category recoding, one-hot columns, standardising.
 
 One-hot columns are built against a declared list of levels, so the output
-schema never depends on the data; ``fit_levels`` gives the list from data
-with a bounded collect when no list is declared.
+schema never depends on the data.
 """
 
 from __future__ import annotations
@@ -17,20 +16,6 @@ from costlens.functions.expressions import (collapse_built_form, map_values, nor
                                             rooms_category)
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> dict[str, list]:
-    """Distinct non-null values per column, sorted. Collects at most
-    ``max_levels + 1`` values per column and raises beyond that (a column
-    with that many levels is not a category)."""
-    out = {}
-    for c in columns:
-        vals = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct()
-                .limit(max_levels + 1).collect()]
-        if len(vals) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels")
-        out[c] = sorted(vals)
-    return out
-
-
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence], sep: str = "_",
             drop_original: bool = False) -> DataFrame:
     """0/1 integer column ``{col}{sep}{value}`` per declared level; a null or

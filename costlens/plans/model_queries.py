@@ -138,6 +138,16 @@ def q_point_boost(spark, sf_dir):
     return error_metrics(held_out_point_fit(spark, sf_dir)[1], "y_true", "y_pred", by=["is_test"])
 
 
+@query("predictions_with_residuals")
+def q_predictions_with_residuals(spark, sf_dir):
+    """Point prediction, residual and bounds (prediction plus linear residual quantiles of the training units) of every unit."""
+    rows = held_out_point_fit(spark, sf_dir)[1]
+    lo, hi = fit_linear_quantiles(rows.where("not is_test"), FEATURES, "residual", C.INTERVAL_QUANTILES)
+    return rows.select("unit_id", *FEATURES, "is_test", "y_true", "y_pred", "residual",
+                       (F.col("y_pred") + lo.predict_column()).alias("y_pred_lower"),
+                       (F.col("y_pred") + hi.predict_column()).alias("y_pred_upper"))
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf_dir):
     """Feature importances of the point model, largest first."""

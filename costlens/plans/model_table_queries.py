@@ -15,6 +15,7 @@ from costlens.plans.model_table import model_table, units_before_features
 from costlens.plans.registry import query
 from costlens.plans.train_job import InputPaths, training_inputs
 from costlens.session import checkpoint_dir
+from costlens.sources import readers
 from costlens.sources.fixtures import fixture, with_fixtures
 
 FIXTURE_CFG = C.CleanConfig(tech_type="Air Source")
@@ -213,3 +214,26 @@ def q_train_inputs(spark, sf_dir):
     dummies = [f"{c}_{v}" for c, vs in SOURCE_LEVELS.items() for v in vs]
     return out.select(*[_SOURCE_OUT.get(c, c) for c in OUT_COLS], F.round("cost", 4).alias("cost"),
                       F.round("adjusted_cost", 4).alias("adjusted_cost"), *dummies)
+
+
+_SCAN_COLS = ("original_mcs_index", "commission_date", "INSPECTION_DATE", "cost", "TOTAL_FLOOR_AREA", "PROPERTY_TYPE")
+
+
+@query("scan_projection", with_fixtures("""
+SELECT unit_id AS original_mcs_index, event_date AS commission_date, inspection_date AS "INSPECTION_DATE", round(cost, 4) AS cost,
+       CAST(floor_area AS DOUBLE) AS "TOTAL_FLOOR_AREA", property_type AS "PROPERTY_TYPE" FROM inst
+""", "inst"))
+def q_scan_projection(spark, sf_dir):
+    """A few columns of the landed records, read by header name with their types and dates."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    rows = readers.read_records(spark, land_files(spark, sf_dir, folder).records).select(*_SCAN_COLS)
+    return rows.withColumn("cost", F.round("cost", 4))
+
+
+@query("index_file", with_fixtures("""
+SELECT title, CAST(value AS VARCHAR) AS value FROM price_index WHERE title IS NOT NULL
+""", "price_index"))
+def q_index_file(spark, sf_dir):
+    """The price index series from its landed file."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    return readers.read_index_series(spark, land_files(spark, sf_dir, folder).price_index)
