@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costlens.functions.expressions import col
-from costlens.operators.quantiles import exact_quantiles
+from costlens.operators.quantiles import exact_quantiles, ranked_quantiles
 
 
 def yearly_stats(df: DataFrame, date: str, value: str, key: str) -> DataFrame:
@@ -143,12 +143,11 @@ def normal_grid(probs: Sequence[float]) -> list[tuple[float, float]]:
 def qq_points(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
     """Sample quantiles of ``value`` on a probability grid against normal quantiles.
 
-    The sample side is the exact quantiles at the grid; the theoretical side is a literal table of len(probs) rows.
+    The sample side is the exact quantiles at the grid, each found in the range of values that holds it; the
+    theoretical side is a literal table of len(probs) rows. Without values the sample side is null.
     """
     grid = normal_grid(probs)
-    one = exact_quantiles(df, [], value, [p for p, _ in grid])
-    one = one.select(F.array(*one.columns).alias("_q"))
-    theo = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(z).alias("theoretical")) for p, z in grid])
-    return (one.select(F.posexplode(theo).alias("_i", "_t"), "_q")
-               .select(F.col("_t.p").alias("p"), F.col("_t.theoretical").alias("theoretical"),
-                       F.col("_q")[F.col("_i")].alias("sample")))
+    names = "i int, p double, theoretical double"
+    theory = df.sparkSession.createDataFrame([(i, float(p), float(z)) for i, (p, z) in enumerate(grid)], names)
+    sample = ranked_quantiles(df, [], value, [p for p, _ in grid])  # one row a probability
+    return theory.join(F.broadcast(sample), "i", "left").select("p", "theoretical", F.col("q").alias("sample"))

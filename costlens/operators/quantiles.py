@@ -85,36 +85,75 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, p
     return per.select(*groups, *[F.get("_q", i).alias(f"q{i}") for i in range(len(probs))])
 
 
-def weighted_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, weight: str | Column,
-                       probs: Sequence[float]) -> DataFrame:
-    """Per group the weighted quantiles of ``value`` as columns q0, q1, ...: the least value at which the weight at or
-    below it reaches that share of the group's weight.
-
-    Exact for weights whose sums are (whole numbers); rows with a null value,
-    or a null, zero or negative weight are left out, and a group of such rows
-    only has none. Equal values are one row, dealt by range of (group, value);
-    the weights of the ranges before tell which range holds a quantile, and
-    only in those ranges weights are summed row by row.
+def _values_at(sums: DataFrame, groups: Sequence[str], val: str, wt: str, wanted) -> DataFrame:
+    """(groups, i, total, v): the least value at which the running weight reaches each wanted one.
+
+    ``sums`` has a row per (group, value) with its weight; ``wanted`` gives an
+    array of (i, need) structs from the group's total weight. The rows are
+    dealt by range of (group, value); the weights of the ranges before tell
+    which range holds a wanted weight, and only there weights are summed row
+    by row. No task holds more than a range, however many are wanted.
     """
-    v, w = ((F.col(c) if isinstance(c, str) else c).cast("double") for c in (value, weight))
-    val, wt, part, base, total, upto, prob = free_names(list(groups), "_v", "_w", "_part", "_base", "_total", "_upto", "_p")
-    sums = df.select(*groups, v.alias(val), w.alias(wt)).where(F.col(val).isNotNull() & (F.col(wt) > 0)).groupBy(*groups, val).agg(
-        F.sum(wt).alias(wt))
+    part, base, total, upto, want = free_names([*groups, val, wt], "_part", "_base", "_total", "_upto", "_want")
     keys = [F.col(g).asc_nulls_first() for g in groups] + [F.col(val)]
     rows = materialise(sums.repartitionByRange(*keys).withColumn(part, F.spark_partition_id()))
     before = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     spans = rows.groupBy(*groups, part).agg(F.sum(wt).alias(wt)).select(
         *groups, part, wt, F.coalesce(F.sum(wt).over(before), F.lit(0.0)).alias(base), F.sum(wt).over(Window.partitionBy(*groups)).alias(total))
-    need = F.col(prob)["p"] * F.col(total) * (1 - 1e-12)
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
-    spans = spans.withColumn(prob, wanted).where((F.col(base) < F.greatest(need, F.lit(1e-300))) & (need <= F.col(base) + F.col(wt)))
+    need = F.greatest(F.col(want)["need"], F.lit(1e-300))
+    spans = spans.withColumn(want, F.explode(wanted(F.col(total)))).where((F.col(base) < need) & (need <= F.col(base) + F.col(wt)))
     spans = broadcast_if_small(spans.drop(wt)).alias("s")
     on = F.col(f"r.{part}") == F.col(f"s.{part}")
     for g in groups:
         on = on & F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}"))
     inside = rows.alias("r").join(spans, on).select(*[F.col(f"r.{g}") for g in groups], F.col(f"r.{part}"), F.col(f"r.{val}"),
-                                                    F.col(f"r.{wt}"), F.col(f"s.{base}"), F.col(f"s.{total}"), F.col(f"s.{prob}"))
-    running = Window.partitionBy(*groups, part, prob).orderBy(val).rowsBetween(Window.unboundedPreceding, 0)
+                                                    F.col(f"r.{wt}"), F.col(f"s.{base}"), F.col(f"s.{total}"), F.col(f"s.{want}"))
+    running = Window.partitionBy(*groups, part, want).orderBy(val).rowsBetween(Window.unboundedPreceding, 0)
     hit = inside.withColumn(upto, F.col(base) + F.sum(wt).over(running)).where(F.col(upto) >= need)
-    cols = [F.min(F.when(F.col(prob)["i"] == i, F.col(val))).alias(f"q{i}") for i in range(len(probs))]
+    return hit.groupBy(*groups, F.col(want)["i"].alias("i"), F.col(total).alias("total")).agg(F.min(val).alias("v"))
+
+
+def weighted_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, weight: str | Column,
+                       probs: Sequence[float]) -> DataFrame:
+    """Per group the weighted quantiles of ``value`` as columns q0, q1, ...: the least value at which the weight at or
+    below it reaches that share of the group's weight.
+
+    Exact for weights whose sums are (whole numbers); rows with a null value,
+    or a null, zero or negative weight are left out, and a group of such rows
+    only has none.
+    """
+    v, w = ((F.col(c) if isinstance(c, str) else c).cast("double") for c in (value, weight))
+    val, wt = free_names([*groups, "i", "total", "v"], "_v", "_w")
+    sums = df.select(*groups, v.alias(val), w.alias(wt)).where(F.col(val).isNotNull() & (F.col(wt) > 0)).groupBy(*groups, val).agg(
+        F.sum(wt).alias(wt))
+    hit = _values_at(sums, groups, val, wt, lambda total: F.array(*[
+        F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * total * (1 - 1e-12)).alias("need")) for i, p in enumerate(probs)]))
+    cols = [F.min(F.when(F.col("i") == i, F.col("v"))).alias(f"q{i}") for i in range(len(probs))]
     return hit.groupBy(*groups).agg(*cols) if groups else hit.agg(*cols)
+
+
+def ranked_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, probs: Sequence[float]) -> DataFrame:
+    """(groups, i, q): the quantiles of ``value`` by place ``i`` in ``probs``, interpolated between order statistics.
+
+    The same numbers as ``exact_quantiles``, a row each, for many probabilities
+    over large groups: distinct values are shuffled once and no row or task
+    grows with the group. Null values are left out; a group of nulls only has
+    no rows.
+    """
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    val, wt = free_names([*groups, "i", "total", "v"], "_v", "_w")
+    sums = df.select(*groups, v.alias(val)).where(F.col(val).isNotNull()).groupBy(*groups, val).agg(
+        F.count(F.lit(1)).cast("double").alias(wt))
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+
+    def wanted(total: Column) -> Column:
+        ends = F.transform(steps, lambda s: F.array(
+            F.struct((2 * s["i"]).alias("i"), (F.floor(s["p"] * (total - 1)) + 1).cast("double").alias("need")),
+            F.struct((2 * s["i"] + 1).alias("i"), (F.ceil(s["p"] * (total - 1)) + 1).cast("double").alias("need"))))
+        return F.flatten(ends)
+
+    hit = _values_at(sums, groups, val, wt, wanted).withColumn("_odd", F.col("i") % 2).withColumn("i", (F.col("i") / 2).cast("int"))
+    both = hit.groupBy(*groups, "i", "total").agg(F.min(F.when(F.col("_odd") == 0, F.col("v"))).alias("_a"),
+                                                  F.min(F.when(F.col("_odd") == 1, F.col("v"))).alias("_b"))
+    h = F.get(steps, F.col("i"))["p"] * (F.col("total") - 1)
+    return both.select(*groups, "i", (F.col("_a") + (F.col("_b") - F.col("_a")) * (h - F.floor(h))).alias("q"))

@@ -78,3 +78,25 @@ def test_equal_folds(spark):
     assert sorted(r["count"] for r in folds.groupBy("fold").count().collect()) == [20, 20, 21, 21, 21]
     again = assign_equal_folds(df.repartition(2), "k", 5)
     assert sorted(map(str, folds.collect())) == sorted(map(str, again.collect()))
+
+
+def test_many_ranks_row_by_row(spark):
+    import numpy as np
+    import pandas as pd
+
+    from costlens.operators.quantiles import exact_quantiles, ranked_quantiles
+
+    rng = np.random.default_rng(5)
+    d = pd.DataFrame({"g": rng.choice(["a", "hot"], 4000, p=[0.2, 0.8]), "v": np.r_[rng.normal(0, 9, 3000), np.full(1000, 1.5)]})
+    df = spark.createDataFrame(d).repartition(6).selectExpr("nullif(g, 'a') AS g", "v").unionByName(
+        spark.createDataFrame([("none", None), ("one", 3.0)], "g string, v double"))
+    probs = [i / 50 for i in range(51)]
+    got = {(r["g"], r["i"]): r["q"] for r in ranked_quantiles(df, ["g"], "v", probs).collect()}
+    assert {g for g, _ in got} == {None, "hot", "one"} and len(got) == 3 * 51
+    for name, g in (("a", None), ("hot", "hot")):
+        assert np.allclose([got[g, i] for i in range(51)], np.quantile(d.v[d.g == name], probs))
+    assert set(got["one", i] for i in range(51)) == {3.0}
+    whole = {r["i"]: r["q"] for r in ranked_quantiles(df, [], "v", probs).collect()}
+    other = exact_quantiles(df, [], "v", probs).first()
+    assert np.allclose([whole[i] for i in range(51)], list(other))
+    assert ranked_quantiles(df.limit(0), [], "v", probs).collect() == []
