@@ -26,6 +26,8 @@ from costlens.llm.common import UPPER, stash
 
 # Largest total size of a cascade that is sent to the tasks (bits of one level).
 MAX_LEVEL_BITS = 1 << 31
+# Words of 64 bits that a row of a built level holds (32 KB).
+SLICE_WORDS = 4096
 
 
 def url_host(url: Column) -> Column:
@@ -85,7 +87,11 @@ class Cascade:
 
 
 def build_level(keys: DataFrame, n: int, p: float, salt: int) -> Level:
-    """Bloom filter of the n keys in column ``key`` with false-positive rate p; bits are set in the tasks."""
+    """Bloom filter of the n keys in column ``key`` with false-positive rate p.
+
+    Bits are set and put together in the tasks; the driver gets them in slices
+    of 32 KB, as many bytes as the level has.
+    """
     bits = max(64, math.ceil(n * math.log(1 / p) / math.log(2) ** 2))
     if bits > MAX_LEVEL_BITS:
         raise ValueError(f"a level of {bits} bits is over the bound that is sent to tasks; split the rule list")
@@ -99,11 +105,18 @@ def build_level(keys: DataFrame, n: int, p: float, salt: int) -> Level:
             bit = np.left_shift(np.uint64(1), pos & np.uint64(63))
             yield pd.DataFrame({"word": at, "value": np.bitwise_or.reduceat(bit, first).view(np.int64)})
 
-    rows = keys.select("key").mapInPandas(words, "word long, value long").groupBy("word").agg(
-        F.bit_or("value").alias("value")).collect()  # at most bits / 64 rows
-    level.words = np.zeros(bits // 64 + 1, dtype=np.uint64)
+    def joined(f: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros(SLICE_WORDS, dtype=np.int64)
+        out[f["word"].to_numpy() % SLICE_WORDS] = f["value"].to_numpy()
+        return pd.DataFrame({"slice": [int(f["word"].iloc[0]) // SLICE_WORDS], "words": [out.tobytes()]})
+
+    each = keys.select("key").mapInPandas(words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value"))
+    rows = each.withColumn("slice", F.floor(F.col("word") / SLICE_WORDS)).groupBy("slice").applyInPandas(
+        lambda f: joined(f), "slice long, words binary").collect()  # at most bits / 64 / SLICE_WORDS rows
+    held = np.zeros((bits // 64 // SLICE_WORDS + 1) * SLICE_WORDS, dtype=np.uint64)
     for r in rows:
-        level.words[r["word"]] = np.uint64(r["value"] & 0xFFFFFFFFFFFFFFFF)
+        held[r["slice"] * SLICE_WORDS:(r["slice"] + 1) * SLICE_WORDS] = np.frombuffer(r["words"], dtype=np.uint64)
+    level.words = held[:bits // 64 + 1]
     return level
 
 

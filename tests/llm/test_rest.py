@@ -231,3 +231,17 @@ def test_packing_does_not_hang_on_the_layout(spark, sf):
         "cast(null AS long) AS doc_id", "text", "lang", "source", "n_chars"))
     got = [sorted(map(tuple, pack(docs.repartition(p), per_group=64).collect()), key=str) for p in (1, 7)]
     assert got[0] == got[1] and len(got[0]) > docs.count() * 0.9
+
+
+def test_level_of_several_slices_sets_the_bits_of_its_keys(spark, monkeypatch):
+    import numpy as np
+
+    from costlens.llm import url_filter as U
+
+    monkeypatch.setattr(U, "SLICE_WORDS", 4)
+    keys = [f"k{i}" for i in range(200)]
+    level = U.build_level(spark.createDataFrame([(k,) for k in keys], "key string").repartition(3), 200, 0.01, 5)
+    want = np.zeros(len(level.words), dtype=np.uint64)
+    for p in np.unique(level.positions(keys)):
+        want[int(p) >> 6] |= np.uint64(1 << (int(p) & 63))
+    assert len(level.words) > 8 and (level.words == want).all() and level.passes(keys).all()
