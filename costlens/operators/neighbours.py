@@ -2,72 +2,123 @@
 
 For each query row: data rows with rooms within +-``room_band`` and area
 within +-``area_band``; if there are more than ``k`` of them, the mean value
-of the ``k`` latest (by ``order`` descending, missing last, ties by
-``tie``), else null.
+of the ``k`` latest (by ``order`` descending, missing last, ties by ``tie``,
+then by the value), else null.
 
-Exact and skew-safe without emitting all pairs of rows:
+Exact, and no pair of rows or cells is ever built:
 
 * The band test depends only on a row's (rooms, area) *cell*, so a cell is
-  wholly inside or outside any band. A row that is not among the ``k``
-  latest of its own cell can never be among the ``k`` latest of a band, so
-  each data cell is cut to its ``k`` latest rows (``row_number() <= k``; the
-  planner inserts a per-partition group limit before the shuffle, so a hot
-  cell sends at most ``k`` rows per map task) plus its row count.
-* Query rows are reduced to distinct cells. Query cells and data cells meet
-  through an equi-join on (rooms bucket, area bucket) with bucket widths
-  equal to the bands (each query cell reads 3 x 3 buckets), followed by the
-  exact band predicate. The pairs are cell pairs, bounded by the number of
-  distinct (rooms, area) values inside one band, not by the row count.
-* Per query cell: total count, ``k`` latest candidates, mean; joined back
-  to the query rows by cell.
+  wholly inside or outside any band. Data cells and the two ends of every
+  query cell's band are dealt by range of (rooms, area) and numbered with
+  running sums, so each band becomes one interval of cell numbers for each
+  rooms value in it, and its count a difference of two running counts.
+* Cell numbers are cut into blocks of 1, 4, 16, ... cells, and each block
+  keeps its ``k`` latest rows (a per-partition group limit runs before the
+  shuffle, so a hot cell sends at most ``k`` rows per task). An interval is a
+  union of at most six blocks of each size, so a query cell reads a number of
+  rows that grows with the logarithm of the number of cells, however many
+  cells its band covers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlens import config as C
+from costlens.plans.materialise import broadcast_if_small, materialise
 
+_LOW, _CELL, _HIGH = 0, 1, 2  # a band's low end counts the cells before it, its high end also those at it
 
-def _bucket_range(c, band: float):
-    lo = F.floor((F.col(c) - F.lit(band)) / F.lit(band)).cast("bigint")
-    hi = F.floor((F.col(c) + F.lit(band)) / F.lit(band)).cast("bigint")
-    return F.sequence(lo, hi)
+
+def _known(rooms: Column, area: Column) -> Column:
+    return rooms.isNotNull() & area.isNotNull() & ~F.isnan(rooms) & ~F.isnan(area)
+
+
+def block_cover(lo: Column, hi: Column, levels: int) -> Column:
+    """Array of (level, block): the fewest blocks of 4^level cells that make up the cells ``lo`` to ``hi`` - 1."""
+
+    def run(first: Column, end: Column, level: int) -> Column:
+        each = F.transform(F.sequence(first, end - 1), lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")))
+        return F.when(first < end, each).otherwise(F.array().cast("array<struct<level:int,block:bigint>>"))
+
+    parts = []
+    for level in range(levels):
+        first = F.shiftright(lo + F.lit((1 << 2 * level) - 1), 2 * level)
+        end = F.shiftright(hi, 2 * level)
+        inner = F.least(F.shiftleft(F.shiftright(first + 3, 2), 2), end)  # from here on, blocks of the next level
+        outer = F.greatest(F.shiftleft(F.shiftright(end, 2), 2), inner)   # up to here
+        parts += [run(first, inner, level), F.when(first < end, run(outer, end, level)).otherwise(
+            F.array().cast("array<struct<level:int,block:bigint>>"))]
+    return F.concat(*parts)
+
+
+def _numbered(cells: DataFrame, ends: DataFrame) -> DataFrame:
+    """Cells and band ends with ``at``, the cells up to the row, and ``upto``, the data rows in them."""
+    none = F.lit(None).cast("double")
+    both = cells.select("r", "a", F.lit(_CELL).alias("kind"), "n", none.alias("qr"), none.alias("qa")).unionByName(ends)
+    key = ["r", "a", "kind"]
+    rows = materialise(both.repartitionByRange(*key).withColumn("part", F.spark_partition_id()))
+    one = (F.col("kind") == _CELL).cast("long")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    spans = rows.groupBy("part").agg(F.sum(one).alias("c"), F.sum("n").alias("n")).select(
+        F.col("part").alias("p"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("cells_before"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"))
+    running = Window.partitionBy("part").orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.join(F.broadcast(spans), F.col("part") == F.col("p")).select(
+        *key, "qr", "qa", (F.col("cells_before") + F.sum(one).over(running)).alias("at"),
+        (F.col("rows_before") + F.sum("n").over(running)).alias("upto"))
 
 
 def band_topk_mean(query: DataFrame, data: DataFrame, rooms: str, area: str, value: str,
                    order: str, tie: str, room_band: float = C.BAND_ROOMS,
                    area_band: float = C.BAND_AREA, k: int = C.BAND_TOP_K,
                    out: str = "neighbour_mean") -> DataFrame:
-    """Add ``out`` to every ``query`` row (see module docstring)."""
-    d = data.select(F.col(rooms).alias("_r"), F.col(area).alias("_a"), F.col(value).alias("_v"),
-                    F.col(order).alias("_o"), F.col(tie).alias("_t")).filter(
-        F.col("_r").isNotNull() & F.col("_a").isNotNull())
-    cell = ["_r", "_a"]
-    latest = Window.partitionBy(*cell).orderBy(F.col("_o").desc_nulls_last(), F.col("_t").asc_nulls_last())
-    top = d.withColumn("_rn", F.row_number().over(latest)).filter(F.col("_rn") <= k).drop("_rn")
-    counts = d.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
-
-    def bucketed(df):
-        return (df.withColumn("_rb", F.floor(F.col("_r") / F.lit(room_band)).cast("bigint"))
-                  .withColumn("_ab", F.floor(F.col("_a") / F.lit(area_band)).cast("bigint")))
-
-    qcells = (query.select(F.col(rooms).alias("_qr"), F.col(area).alias("_qa"))
-                   .filter(F.col("_qr").isNotNull() & F.col("_qa").isNotNull()).distinct())
-    qx = (qcells.withColumn("_rb", F.explode(_bucket_range("_qr", room_band)))
-                .withColumn("_ab", F.explode(_bucket_range("_qa", area_band))))
-    in_band = ((F.col("_r") >= F.col("_qr") - F.lit(room_band)) & (F.col("_r") <= F.col("_qr") + F.lit(room_band))
-               & (F.col("_a") <= F.col("_qa") + F.lit(area_band)) & (F.col("_a") >= F.col("_qa") - F.lit(area_band)))
-
-    n_per_q = (qx.join(bucketed(counts), ["_rb", "_ab"]).filter(in_band)
-                 .groupBy("_qr", "_qa").agg(F.sum("_n").alias("_cnt")))
-    cand = qx.join(bucketed(top), ["_rb", "_ab"]).filter(in_band)
-    qwin = Window.partitionBy("_qr", "_qa").orderBy(F.col("_o").desc_nulls_last(), F.col("_t").asc_nulls_last())
-    mean_per_q = (cand.withColumn("_rn", F.row_number().over(qwin)).filter(F.col("_rn") <= k)
-                      .groupBy("_qr", "_qa").agg(F.avg("_v").alias("_mean")))
-    res = (n_per_q.join(mean_per_q, ["_qr", "_qa"], "left")
-                  .select(F.col("_qr").alias("_jr"), F.col("_qa").alias("_ja"),
-                          F.when(F.col("_cnt") > F.lit(k), F.col("_mean")).alias(out)))
-    cond = (F.col(rooms) == F.col("_jr")) & (F.col(area) == F.col("_ja"))
-    return query.join(res, cond, "left").drop("_jr", "_ja")
+    """Add ``out`` to every ``query`` row (see module docstring).
+
+    A row without rooms or area (null or NaN) has no neighbours and is none.
+    Null values count as neighbours and are left out of the mean. Repeated
+    rows count once each. Without data every mean is null. Bands are taken
+    in double precision.
+    """
+    r, a = F.col(rooms).cast("double"), F.col(area).cast("double")
+    d = data.where(_known(r, a)).select(r.alias("r"), a.alias("a"), F.col(value).alias("v"), F.col(order).alias("o"), F.col(tie).alias("t"))
+    asked = materialise(query.where(_known(r, a)).select(r.alias("qr"), a.alias("qa")).distinct())
+    cells = materialise(d.groupBy("r", "a").agg(F.count(F.lit(1)).alias("n")))
+    levels = 1 + (max(cells.count() - 1, 0).bit_length() + 1) // 2  # 4^(levels - 1) cells or less
+
+    # Rooms values meet through buckets as wide as the band; a query value has as many partners as its band has values.
+    bucket = lambda c: F.floor(c / F.lit(room_band)).cast("bigint")
+    of = asked.select("qr").distinct().withColumn("b", F.explode(F.sequence(bucket(F.col("qr") - room_band), bucket(F.col("qr") + room_band))))
+    near = of.join(cells.select("r").distinct().withColumn("b", bucket(F.col("r"))), "b").where(
+        (F.col("r") >= F.col("qr") - F.lit(room_band)) & (F.col("r") <= F.col("qr") + F.lit(room_band))).select(F.col("qr").alias("q"), "r")
+    ends = asked.join(broadcast_if_small(near), F.col("qr") == F.col("q")).select(
+        "r", "qr", "qa", F.explode(F.array(
+            F.struct((F.col("qa") - F.lit(area_band)).alias("a"), F.lit(_LOW).alias("kind")),
+            F.struct((F.col("qa") + F.lit(area_band)).alias("a"), F.lit(_HIGH).alias("kind")))).alias("e")).select(
+        "r", "e.a", "e.kind", F.lit(0).cast("long").alias("n"), "qr", "qa")
+    placed = materialise(_numbered(cells, ends))
+
+    def end(kind: int, c: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col(c)))
+
+    bands = placed.where(F.col("kind") != _CELL).groupBy("qr", "qa", "r").agg(
+        end(_LOW, "at").alias("lo"), end(_HIGH, "at").alias("hi"), (end(_HIGH, "upto") - end(_LOW, "upto")).alias("n"))
+    enough = bands.groupBy("qr", "qa").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lo", "hi")).alias("runs")).where(F.col("n") > k)
+    wanted = enough.select("qr", "qa", F.explode("runs").alias("run")).select(
+        "qr", "qa", F.explode(block_cover(F.col("run.lo"), F.col("run.hi"), levels)).alias("w")).select("qr", "qa", "w.level", "w.block")
+
+    latest = [F.col("o").desc_nulls_last(), F.col("t").asc_nulls_last(), F.col("v").asc_nulls_last()]
+
+    def cut(df: DataFrame, *by: str) -> DataFrame:
+        return df.withColumn("rn", F.row_number().over(Window.partitionBy(*by).orderBy(*latest))).where(F.col("rn") <= k).drop("rn")
+
+    number = placed.where(F.col("kind") == _CELL).select(F.col("r").alias("cr"), F.col("a").alias("ca"), (F.col("at") - 1).alias("at"))
+    top = cut(d, "r", "a").join(number, (F.col("r") == F.col("cr")) & (F.col("a") == F.col("ca")))
+    blocks = top.select("v", "o", "t", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("level"), F.shiftright("at", 2 * j).alias("block")) for j in range(levels)])).alias("b")).select(
+        "v", "o", "t", "b.level", "b.block")
+    means = cut(wanted.join(cut(blocks, "level", "block"), ["level", "block"]), "qr", "qa").groupBy("qr", "qa").agg(F.avg("v").alias("mean"))
+    r, a = F.col(f"q.`{rooms}`").cast("double"), F.col(f"q.`{area}`").cast("double")
+    return query.alias("q").join(means.alias("m"), (r == F.col("m.qr")) & (a == F.col("m.qa")), "left").select(
+        "q.*", F.col("m.mean").alias(out))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from costlens.functions.expressions import days_since
 from costlens.operators.features import dummify, one_hot, standardise
 from costlens.operators.neighbours import band_topk_mean
+from costlens.plans.materialise import materialise
 from costlens.plans.metric_queries import rounded
 from costlens.plans.registry import query
 from costlens.sources.fixtures import fixture, with_fixtures
+from costlens.sources.readers import read_table
 
 DAYS_FROM = "1992-01-01"
 ID_COLS = ("unit_id", "record_id", "tie_1", "tie_2", "tie_3")
@@ -33,10 +35,29 @@ def q_band_topk_mean(spark, sf_dir):
     """Per record: mean cost of the 10 latest records within +-1 room and +-50 m2
     (whole table as both sides), null unless more than 10 such records."""
     inst = fixture(spark, sf_dir, "inst").withColumn("n_days", days_since("event_date", DAYS_FROM))
+    inst = materialise(inst.select(*ID_COLS, "rooms", "floor_area", "cost", "n_days"))
     out = band_topk_mean(inst, inst, "rooms", "floor_area", "cost", "n_days", "unit_id")
     return out.select(*ID_COLS, F.round("neighbour_mean", 4).alias("neighbour_mean"))
 
 
+@query("band_topk_mean_real_values", """
+WITH d AS (SELECT month(o_orderdate) AS m, o_totalprice AS p, o_orderdate AS t, o_orderkey AS id FROM orders),
+pairs AS (SELECT q.id AS qid, d.p, d.t, d.id FROM d q JOIN d ON d.m >= q.m - 1 AND d.m <= q.m + 1
+          AND d.p <= q.p + 2500 AND d.p >= q.p - 2500),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY t DESC NULLS LAST, id) AS rn,
+                  count(*) OVER (PARTITION BY qid) AS cnt FROM pairs),
+res AS (SELECT qid, CASE WHEN max(cnt) > 10 THEN avg(CASE WHEN rn <= 10 THEN p END) END AS mean FROM ranked GROUP BY qid)
+SELECT o_orderkey, round(mean, 4) AS neighbour_mean FROM orders LEFT JOIN res ON o_orderkey = qid
+""")
+def q_band_topk_mean_real_values(spark, sf_dir):
+    """The same on values that hardly repeat: per order the mean total of the 10 latest orders within +-1 month
+    and +-2,500 of its total, null unless more than 10 such orders."""
+    orders = read_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderdate", "o_totalprice").withColumn(
+        "m", F.month("o_orderdate"))
+    out = band_topk_mean(orders, orders, "m", "o_totalprice", "o_totalprice", "o_orderdate", "o_orderkey", area_band=2500.0)
+    return out.select("o_orderkey", F.round("neighbour_mean", 4).alias("neighbour_mean"))
+
+
 _LEVELS = {"built_form": ["Detached", "Semi-Detached", "End-Terrace", "Mid-Terrace"],
            "property_type": ["House", "Bungalow"]}
 

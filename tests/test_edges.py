@@ -11,7 +11,7 @@ from costlens.operators import records as R
 from costlens.operators.clean import null_out_strings, relevant_rows
 from costlens.operators.features import one_hot
 from costlens.operators.metrics import error_metrics, floor_metrics, interval_metrics
-from costlens.operators.neighbours import band_topk_mean
+from costlens.operators.neighbours import band_topk_mean, block_cover
 from costlens.operators.outliers import treat_outliers
 
 D = dt.date
@@ -117,6 +117,51 @@ def test_band_edge(spark):
     assert band_topk_mean(q, exactly_ten, "r", "a", "cost", "t", "id").filter("neighbour_mean IS NOT NULL").count() == 0
 
 
+def test_band_on_real_areas(spark):
+    # areas with decimals of their own, a hot cell, ties, nulls, columns of clashing names
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(11)
+    n = 1500
+    d = pd.DataFrame({"r": rng.integers(1, 6, n) + rng.choice([0, 0.5], n, p=[0.9, 0.1]), "a": rng.uniform(20, 900, n).round(2),
+                      "cost": rng.normal(50, 9, n).round(3), "t": rng.integers(0, 60, n), "id": np.arange(n)})
+    d.loc[:400, ["r", "a"]] = (3.0, 222.22)
+    d.loc[401:420, "a"] = 222.22 + 50
+    d.loc[421:430, "a"] = 2000 + np.arange(10) * 30.01
+    odd = "SELECT double(null) r, 5.0D a, 1.0D cost, 3L t, -1L id UNION ALL SELECT 3, double('NaN'), 1, 3, -2 UNION ALL SELECT 3, 222.22D, null, 99L, -3"
+    df = spark.createDataFrame(d).unionByName(spark.sql(odd)).repartition(5)
+    query = df.select("r", "a", F.lit("x").alias("qr"), F.lit("y").alias("mean"))
+    got = band_topk_mean(query, df, "r", "a", "cost", "t", "id").collect()
+    assert len(got) == n + 3 and got[0].qr == "x" and got[0].mean == "y"
+    d = pd.concat([d, pd.DataFrame([(3.0, 222.22, float("nan"), 99, -3)], columns=d.columns)])
+    want = {}
+    for x in got:
+        near = d[(d.r >= x.r - 1) & (d.r <= x.r + 1) & (d.a <= x.a + 50) & (d.a >= x.a - 50)] if x.r is not None else d[:0]
+        mean = near.sort_values(["t", "id"], ascending=[False, True]).head(10)["cost"].astype(float).mean()
+        want[x.r, x.a] = mean if len(near) > 10 else None
+        assert (x.neighbour_mean is None) == (want[x.r, x.a] is None)
+        assert want[x.r, x.a] is None or abs(x.neighbour_mean - want[x.r, x.a]) < 1e-9
+    assert sum(v is not None for v in want.values()) > 500 and sum(v is None for v in want.values()) > 2
+    assert band_topk_mean(query.limit(3), df.limit(0), "r", "a", "cost", "t", "id").where("neighbour_mean IS NOT NULL").count() == 0
+    assert band_topk_mean(query.limit(0), df, "r", "a", "cost", "t", "id").count() == 0
+    for n in (11, 16, 17, 64, 65):  # one band over all cells
+        row = spark.range(n).selectExpr("2.0D AS r", "100 + id * 0.5D AS a", "double(id) AS cost", "id AS t", "id")
+        mid = spark.createDataFrame([(2.0, 120.0)], "r double, a double")
+        assert band_topk_mean(mid, row, "r", "a", "cost", "t", "id").first().neighbour_mean == n - 5.5
+
+
+def test_blocks_cover_an_interval(spark):
+    rows = [(lo, hi) for lo in range(0, 40) for hi in range(lo, 70, 3)] + [(5, 1_000_000), (0, 1 << 20)]
+    df = spark.createDataFrame(rows, "lo long, hi long").select("lo", "hi", block_cover(F.col("lo"), F.col("hi"), 11).alias("c"))
+    for x in df.collect():
+        cells = sum(4 ** b.level for b in x.c)
+        assert cells == x.hi - x.lo and len(x.c) <= 6 * 11
+        spans = sorted((b.block * 4 ** b.level, (b.block + 1) * 4 ** b.level) for b in x.c)
+        assert all(p[1] == q[0] for p, q in zip(spans, spans[1:]))
+        assert not spans or (spans[0][0], spans[-1][1]) == (x.lo, x.hi)
+
+
 def test_interval_edge(spark):
     rows = [(10.0, 10.0, 20.0), (20.0, 10.0, 20.0), (5.0, 7000.0, 9000.0), (1.0, 7000.0, 8000.0)]
     df = spark.createDataFrame(rows, "y double, lo double, hi double")
