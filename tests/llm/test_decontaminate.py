@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+from costlens.llm import decontaminate
 from costlens.llm.decontaminate import contamination, drop_contaminated, gram_length
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -77,3 +78,28 @@ def test_drop_is_by_row_not_by_id(spark, prose):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(str(r) for r in rows if item not in (r[1] or ""))
+
+
+def test_fingerprints_joined_by_shuffle(spark, prose, monkeypatch):
+    """Items with more fingerprints than are broadcast give the same rows."""
+    item = prose(30, 1)
+    items = [(1, item), (2, "One two, three!"), (3, prose(12, 2)), (4, None), (5, "one")]
+    docs = [(1, "so " + item), (2, "x ONE-two three y"), (3, None), (4, prose(40, 7)), (5, prose(3000, 5) + " " + prose(12, 2)), (6, "one")]
+    got, _ = run(spark, docs, items)
+    monkeypatch.setattr(decontaminate, "BROADCAST_PRINTS", 0)
+    assert run(spark, docs, items)[0] == got == brute(docs, items)
+
+
+def test_word_cuts(spark, prose):
+    """Separators at either end, other scripts, NUL, controls and white space beyond ASCII."""
+    odd = ["...", " a ", "\x00a\x00b\x00", "a b", "ÀB c", "1 2-3", "`x{y}", "中文 字", "😀 x😀", "\x7f", "İI", " ", "_a_", "@z["]
+    docs = [(n, t) for n, t in enumerate(odd)]
+    assert run(spark, docs, [(1, "a b"), (2, "x"), (3, "😀")])[0] == brute(docs, [(1, "a b"), (2, "x"), (3, "😀")])
+
+
+def test_very_long_text(spark, prose):
+    item = prose(40, 3)
+    n = 1_000_000
+    text = "the same few words again and again " * (n // 7) + item
+    got, _ = run(spark, [(1, text), (2, item)], [(7, item)])
+    assert got[1][:3] == (n // 7 * 7 + 40, 40, 1) and got[2][:3] == (40, 40, 1)
