@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from costlens.functions.expressions import col
 from costlens.operators.quantiles import exact_quantiles, ranked_quantiles
+from costlens.plans.materialise import broadcast_if_small
 
 
 def yearly_stats(df: DataFrame, date: str, value: str, key: str) -> DataFrame:
@@ -122,8 +123,8 @@ def residual_trend(df: DataFrame, residual: str, columns: Sequence[str]) -> Data
 def box_stats(df: DataFrame, value: str, by: Sequence[str], k: float = 1.5) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers (furthest points within
     k x IQR of the box) and outlier count. Quartiles are a small per-group table
-    joined back, then one more grouped aggregate."""
-    q = exact_quantiles(df, by, value, [0.25, 0.5, 0.75]).toDF(*by, "q1", "median", "q3")
+    joined back (broadcast if small), then one more grouped aggregate."""
+    q = broadcast_if_small(exact_quantiles(df, by, value, [0.25, 0.5, 0.75]).toDF(*by, "q1", "median", "q3"))
     v = F.col(value)
     j = df.join(q, on=list(by), how="inner")
     lo = F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))

@@ -1,10 +1,11 @@
 """Exact quantiles per group without holding a group in one task.
 
 A bounded sketch brackets each wanted rank; the error of the sketch is known,
-so the bracket surely holds the rank. One more pass counts the rows below
+so the bracket surely holds the rank. The sketches, a row a group, are written
+and broadcast if they are few. One more pass counts the rows below
 each bracket and keeps only the distinct values inside, about ``4 /
 accuracy`` of a group, with their counts. Both passes combine before the
-shuffle, equal values are one row, and no job runs while the plan is built.
+shuffle, and equal values are one row; no row is shuffled or sorted by its group.
 """
 
 from __future__ import annotations
@@ -57,31 +58,29 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, p
     grid = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
     sketch = rows.groupBy(*groups).agg(F.percentile_approx("_v", grid, accuracy).alias("_s"), F.count("_v").alias("_n"))
     whole = F.col("_n") <= accuracy
-    brackets = F.transform(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probs)]),
-                           lambda x: F.struct(
-        x["p"].alias("p"), F.when(whole, float("-inf")).otherwise(F.get("_s", 2 * x["i"])).alias("lo"),
-        F.when(whole, float("nan")).otherwise(F.get("_s", 2 * x["i"] + 1)).alias("hi")))  # NaN is above all values
-    rows = same_groups(rows, sketch.select(*groups, brackets.alias("_b")), groups)
+    brackets = F.transform(F.array(*[F.lit(i) for i in range(len(probs))]), lambda i: F.struct(
+        F.when(whole, float("-inf")).otherwise(F.get("_s", 2 * i)).alias("lo"),
+        F.when(whole, float("nan")).otherwise(F.get("_s", 2 * i + 1)).alias("hi")))  # NaN is above all values
+    rows = same_groups(rows, broadcast_if_small(sketch.select(*groups, brackets.alias("_b"))), groups)
     value_ = F.col("_v")
     inside = F.exists("_b", lambda x: value_.between(x["lo"], x["hi"]))
     # The number of brackets that begin at or below the value; brackets ascend with the probabilities.
     zone = F.size(F.filter("_b", lambda x: value_ >= x["lo"]))
-    counted = rows.groupBy(*groups, F.when(inside, value_).alias("_in"), zone.alias("_zone")).agg(
-        F.count("_v").alias("_c"), F.first("_b").alias("_b"))
+    # Counts only: an array beside them would have every row sorted.
+    counted = rows.groupBy(*groups, F.when(inside, value_).alias("_in"), zone.alias("_zone")).agg(F.count("_v").alias("_c"))
     row = F.struct(F.col("_in").alias("v"), F.col("_c").alias("n"), F.col("_zone").alias("zone"))
-    per = counted.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.first("_b").alias("_b"),
-                                       F.sort_array(F.collect_list(row)).alias("_rows"))
+    per = counted.groupBy(*groups).agg(F.sum("_c").alias("_n"), F.sort_array(F.collect_list(row)).alias("_rows"))
     per = per.withColumn("_kept", F.filter("_rows", lambda x: x["v"].isNotNull()))
 
-    def quantile(x: Column, i: Column) -> Column:
+    def quantile(p: Column, i: Column) -> Column:
         below = F.aggregate("_rows", F.lit(0).cast("long"), lambda a, r: a + F.when(r["zone"] <= i, r["n"]).otherwise(F.lit(0)))
         if method == "lower":
-            return _at_rank(F.col("_kept"), i, below, F.greatest(F.ceil(x["p"] * F.col("_n")) - 1, F.lit(0)))
-        h = x["p"] * (F.col("_n") - 1)
+            return _at_rank(F.col("_kept"), i, below, F.greatest(F.ceil(p * F.col("_n")) - 1, F.lit(0)))
+        h = p * (F.col("_n") - 1)
         a, b = (_at_rank(F.col("_kept"), i, below, r) for r in (F.floor(h), F.ceil(h)))
         return a + (b - a) * (h - F.floor(h))
 
-    per = per.select(*groups, F.transform("_b", quantile).alias("_q"))
+    per = per.select(*groups, F.transform(F.array(*map(F.lit, probs)), quantile).alias("_q"))
     return per.select(*groups, *[F.get("_q", i).alias(f"q{i}") for i in range(len(probs))])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from costlens.operators import metrics as M
 from costlens.operators.features import one_hot
 from costlens.operators.outliers import group_quantiles
+from costlens.plans.materialise import broadcast_if_small
 from costlens.plans.registry import query
 from costlens.sources.fixtures import fixture, with_fixtures
 
@@ -188,7 +189,7 @@ def q_interval_from_residuals(spark, sf_dir):
     """Interval = point prediction + per-group residual quantiles (0.1, 0.9); coverage per group."""
     df = _preds(spark, sf_dir).withColumn("res", F.col("y") - F.col("y_pred"))
     q = group_quantiles(df, ["grp"], "res", (0.1, 0.9)).withColumnsRenamed({"q0": "q_lo", "q1": "q_hi"})
-    j = df.join(q, "grp").withColumn("lo_i", F.col("y_pred") + F.col("q_lo")) \
+    j = df.join(broadcast_if_small(q), "grp").withColumn("lo_i", F.col("y_pred") + F.col("q_lo")) \
           .withColumn("hi_i", F.col("y_pred") + F.col("q_hi"))
     out = j.groupBy("grp", "q_lo", "q_hi").agg(
         F.avg(((F.col("y") >= F.col("lo_i")) & (F.col("y") <= F.col("hi_i"))).cast("double")).alias("coverage"))

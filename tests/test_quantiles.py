@@ -100,3 +100,13 @@ def test_many_ranks_row_by_row(spark):
     other = exact_quantiles(df, [], "v", probs).first()
     assert np.allclose([whole[i] for i in range(51)], list(other))
     assert ranked_quantiles(df.limit(0), [], "v", probs).collect() == []
+
+
+def test_rows_are_neither_sorted_nor_shuffled_by_their_group(spark):
+    from costlens.operators.explore import box_stats
+
+    df = spark.range(60_000).select((F.col("id") % 2).cast("string").alias("g"), F.xxhash64("id").cast("double").alias("v"))
+    plan = exact_quantiles(df, ["g"], "v", [0.25, 0.75])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    plan = box_stats(df, "v", ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "BroadcastHashJoin" in plan
