@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,7 +34,8 @@ SLACK, TAIL = 0.5, 0.01
 SHARPNESS = 25.0
 NO_LANGUAGE = "und"
 JUDGED = ["lang_pred", "score", "cosine", "rejected"]
-_CHUNK = 1 << 20
+# Characters hashed at once and texts judged at once: a task's arrays stay under about 20 MB, whatever the text.
+_CHUNK, _TEXTS = 1 << 17, 64
 _ALPHA: list[np.ndarray] = []
 
 
@@ -116,6 +118,15 @@ class LanguageModel:
     def vectors(self, counts: list[np.ndarray]) -> np.ndarray:
         return _unit(np.log1p(np.stack(counts)).astype(np.float32) * self.idf)
 
+    def vectors_of(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """Which texts have a letter, and the vectors of those; one text's counts at a time."""
+        ok, x = np.zeros(len(texts), dtype=bool), np.empty((len(texts), DIM), dtype=np.float32)
+        for i, t in enumerate(texts):
+            counts = gram_counts(t)
+            if counts is not None:
+                ok[i], x[i] = True, np.log1p(counts)
+        return ok, _unit(x[ok] * self.idf)
+
     def cosines(self, x: np.ndarray) -> np.ndarray:
         """Largest cosine with each language's centroids."""
         sims = x @ self.centroids.T
@@ -123,16 +134,15 @@ class LanguageModel:
 
     def judge(self, texts: list) -> pd.DataFrame:
         """lang_pred, score, cosine and rejected of each text."""
-        parts = [self._judge(texts[at:at + 256]) for at in range(0, len(texts), 256)]
+        parts = [self._judge(texts[at:at + _TEXTS]) for at in range(0, len(texts), _TEXTS)]
         return pd.concat(parts or [self._judge([])], ignore_index=True)
 
     def _judge(self, texts: list) -> pd.DataFrame:
-        got = [gram_counts(t) for t in texts]
-        ok = np.array([c is not None for c in got], dtype=bool) & bool(self.languages)
+        ok, x = self.vectors_of(texts if self.languages else [None] * len(texts))
         lang = np.full(len(texts), NO_LANGUAGE, dtype=object)
         score, cosine, rejected = np.zeros(len(texts)), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
         if ok.any():
-            cos = self.cosines(self.vectors([c for c, k in zip(got, ok) if k]))
+            cos = self.cosines(x)
             best = cos.argmax(axis=1)
             top = cos[np.arange(len(best)), best]
             lang[ok] = np.array(self.languages, dtype=object)[best]
@@ -214,13 +224,17 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # languages * CENTROIDS * DIM floats
 
-    def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield sent.value.judge(f["text"].tolist()).assign(id=f["id"].to_numpy())[["id", *JUDGED]]
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _TEXTS):  # a batch's texts are never all Python strings at once
+                b = batch.slice(at, _TEXTS)
+                f = sent.value.judge(b.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column("id"), *[pa.array(f[c], k) for c, k in zip(
+                    JUDGED, (pa.string(), pa.float64(), pa.float64(), pa.bool_()))]], names=["id", *JUDGED])
 
     cols = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = cols.schema["id"].dataType.simpleString()
-    return cols.mapInPandas(predict, f"id {kind}, lang_pred string, score double, cosine double, rejected boolean")
+    return cols.mapInArrow(predict, f"id {kind}, lang_pred string, score double, cosine double, rejected boolean")
 
 
 def drop_unidentified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

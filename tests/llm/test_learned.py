@@ -289,3 +289,18 @@ def test_centroids_share_their_language_and_foreign_text_is_rejected(spark, sf):
     noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(300)]
     foreign = ["".join(chr(c) for c in rng.integers(0x430, 0x450, 400)), " ".join(noise), "漢字" * 50]
     assert model.judge(foreign)["rejected"].all()
+
+
+def test_language_prediction_holds_few_texts_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    texts = ["".join(rng.choice(list("abcdefgh "), 30)) for _ in range(1000)]
+    model = language.LanguageModel(np.ones(language.DIM, dtype=np.float32), ["x", "y"], np.array([0, 1]),
+                                   rng.random((2, language.DIM)).astype(np.float32), np.zeros(2))
+    sizes = []
+    monkeypatch.setattr(language.LanguageModel, "cosines", lambda self, x: sizes.append(len(x)) or x @ self.centroids.T)
+    got = model.judge([*texts, None, "7"])
+    assert max(sizes) <= 64 and sum(sizes) == sum(t.strip() != "" for t in texts) and list(got["lang_pred"][-2:]) == ["und", "und"]
+    monkeypatch.undo()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "7"])], "doc_id long, text string").coalesce(1)
+    rows = {r["id"]: (r["lang_pred"], r["score"], r["rejected"]) for r in language.predict_language(df, model).collect()}
+    assert len(rows) == 1002 and all(rows[i][0] == p and abs(rows[i][1] - s) < 1e-5 for i, (p, s) in enumerate(zip(got["lang_pred"], got["score"])))
