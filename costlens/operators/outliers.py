@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from costlens import config as C
 from costlens.operators.quantiles import exact_quantiles
 from costlens.operators.ranking import exact_rank
-from costlens.plans.materialise import broadcast_if_small
+from costlens.plans.materialise import broadcast_if_small, dealt
 
 WINSORISE_MODES = ("none", "upper", "lower", "both")
 
@@ -80,10 +80,13 @@ def group_distinct_rank(df: DataFrame, groups: Sequence[str], key: str,
     """Distinct ``key`` count per group, numbered 1..G by (count, group values)
     ascending, with a text label ``{prefix}{n}``.
 
-    The groups are numbered by ranges (see ``exact_rank``), so however many
-    there are, no task numbers all of them.
+    The rows are dealt by (group, key) to tasks by their number, and the
+    groups are numbered by ranges (see ``exact_rank``), so no task holds more
+    pairs or groups as the input grows.
     """
-    counts = df.na.drop(how="any", subset=list(groups)).groupBy(*groups).agg(
-        F.countDistinct(key).cast("bigint").alias("n_distinct"))
+    names = list(dict.fromkeys([*groups, key]))
+    rows = dealt(df.na.drop(how="any", subset=list(groups)).select(*names), *names)
+    pairs = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = pairs.groupBy(*groups).agg(F.count(key).cast("bigint").alias("n_distinct"))
     ranked = exact_rank(counts, ["n_distinct", *groups], out="group_rank").withColumn("group_rank", F.col("group_rank") + 1)
     return ranked.withColumn("group_label", F.concat(F.lit(label_prefix), F.col("group_rank").cast("string")))

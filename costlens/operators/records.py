@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlens.functions.expressions import abs_day_gap, false_if_null
+from costlens.plans.materialise import dealt
 
 
 def _asc_nulls_last(c: Column) -> list[Column]:
@@ -70,11 +71,13 @@ def first_record_flag(df: DataFrame, key: str, date: str, flag_col: str, flag_va
 def mode_per_key(df: DataFrame, key: str, value: str, out: str = "mode_value") -> DataFrame:
     """Most common non-null ``value`` per key; ties go to the smallest value.
 
-    Two partial aggregates: (key, value) counts, then max count per key.
+    Two aggregates: (key, value) counts, then max count per key. The rows are
+    dealt to tasks by their number, so no task's table of groups grows with
+    the input; a value that most rows of the table share is one row of it.
     """
-    counts = (df.filter(F.col(value).isNotNull())
-                .groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
-    return (counts.groupBy(key)
+    rows = df.filter(F.col(value).isNotNull()).select(key, value)
+    counts = dealt(rows, key, value).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    return (dealt(counts, key).groupBy(key)
                   .agg(F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias(out)))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,8 @@ from costlens.session import checkpoint_dir
 
 # Largest small side (rows) that is broadcast; bigger sides use a shuffle join.
 BROADCAST_MAX_ROWS = 200_000
+# Rows that a task takes of a table dealt by key.
+DEALT_ROWS = 500_000
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -37,3 +40,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     small = df if materialised else materialise(df)
     n = small.limit(max_rows + 1).count()
     return F.broadcast(small) if n <= max_rows else small
+
+
+def dealt(df: DataFrame, *keys: str, rows_a_task: int = DEALT_ROWS) -> DataFrame:
+    """The rows, written once and dealt by the hash of ``keys`` to as many tasks as their number asks for.
+
+    A grouping by these keys (or more) needs no other shuffle, and the groups
+    that a task holds do not grow with the table: the number of tasks does.
+    """
+    rows = materialise(df)
+    return rows.repartition(max(1, math.ceil(rows.count() / rows_a_task)), *keys)
