@@ -34,8 +34,8 @@ SLACK, TAIL = 0.5, 0.01
 SHARPNESS = 25.0
 NO_LANGUAGE = "und"
 JUDGED = ["lang_pred", "score", "cosine", "rejected"]
-# Characters hashed at once and texts judged at once: a task's arrays stay under about 20 MB, whatever the text.
-_CHUNK, _TEXTS = 1 << 17, 64
+# Characters hashed at once and texts judged at once: a task's arrays stay under about 30 MB, whatever the text.
+_CHUNK, _TEXTS = 1 << 17, 256
 _ALPHA: list[np.ndarray] = []
 
 
