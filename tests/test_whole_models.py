@@ -49,3 +49,36 @@ def test_a_model_of_few_rows_takes_no_job_a_round(spark):
             assert np.allclose(sorted(s.value), sorted(t.value))
     batch.close()
     spread.close()
+
+
+def test_a_level_counts_only_the_children_of_fewer_rows(monkeypatch):
+    x, y, bins = rows()
+    counted = []
+    cells = Growth._cells
+    monkeypatch.setattr(Growth, "_cells", lambda self, at, *a: (counted.append(len(x) if at is None else len(at)), cells(self, at, *a))[1])
+    grow_rounds(x, y, np.zeros(len(y)), np.ones(len(y)), bins, Spec(0.5, 1, 6, 5, 2, 0.1), 0, 1)
+    assert len(counted) > 3 and counted[0] == len(x) and max(counted[1:]) <= len(x) // 2
+
+
+def test_rows_of_a_split_tree_end_where_its_cuts_lead():
+    x, y, bins = rows()
+    tree = grow_subtree(x, y, np.ones(len(y)), bins, Spec(0.5, 1, 12, 1), 0)
+    for row, node in zip(x[:200], tree.nodes_of(x[:200])):
+        at = 0
+        while tree.left[at] >= 0:
+            at = (tree.left if row[tree.feature[at]] <= tree.cut[at] else tree.right)[at]
+        assert at == node
+    assert (Tree.root(3.0).nodes_of(x) == 0).all() and len(tree.nodes_of(x[:0])) == 0
+
+
+def test_a_model_of_six_times_the_rows_of_a_node_is_grown_by_one_task(spark, monkeypatch):
+    d = pd.DataFrame({"a": np.arange(600.0) % 37, "y": np.arange(600.0) % 37 + np.sin(np.arange(600.0))})
+    one, spread = (BoostBatch(spark.createDataFrame(d), ["a"], "y", [Spec(0.5, 4, 3, 5)], local_rows=n) for n in (100, 99))
+    rounds, grow = [], BoostBatch._grow
+    monkeypatch.setattr(BoostBatch, "_grow", lambda self, specs, r: (rounds.append((self.local_rows, r)), grow(self, specs, r))[1])
+    for batch in (one, spread):
+        batch.advance(4)
+        batch.close()
+    assert rounds == [(99, 0), (99, 1), (99, 2), (99, 3)]
+    for s, t in zip(one.models[0].trees, spread.models[0].trees):
+        assert sorted(s.value) == sorted(t.value)
