@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from costlens.models import baselines as B
 from costlens.models.quantile_boost import BoostBatch, QuantileBoostModel, bin_edges, fit_quantile_boost
-from costlens.models.tree_growth import BigLeaf, Spec, Tree, from_sortable, grow_subtree, sortable
+from costlens.models.tree_growth import (BigLeaf, Growth, Spec, Tree, from_sortable, grow_subtree, lower_quantile, place_of,
+                                         quantile_of, sortable)
 
 
 def lower(values, weights, alpha):
@@ -186,3 +187,42 @@ def test_tree_bytes_round_trip():
     t = grow_subtree(x, rng.normal(size=100), np.ones(100), [9, 9], Spec(0.5, max_depth=5), 0)
     back = Tree.from_bytes(t.to_bytes())
     assert all((getattr(t, n) == getattr(back, n)).all() for n, _ in Tree.FIELDS)
+
+
+def test_quantile_in_a_bracket_is_that_of_all_values():
+    rng = np.random.default_rng(5)
+    for v in (rng.normal(0, 1, 30_000), rng.integers(0, 40, 20_000).astype(float), np.sort(rng.normal(0, 1, 20_000)), np.zeros(9_000),
+              np.concatenate([np.zeros(15_000), rng.normal(9, 1, 5_000)]), rng.normal(0, 1, 50)):
+        w = rng.integers(1, 3, len(v)).astype(float)
+        for alpha in (0.001, 0.1, 0.5, 0.9, 0.999):
+            assert quantile_of(v, alpha) == lower(v, np.ones(len(v)), alpha)
+            assert quantile_of(v, alpha, w) == lower(v, w, alpha)
+
+
+def test_places_of_many_leaves_are_those_of_their_running_sums():
+    size = np.arange(1, 400)
+    for alpha in (0.1, 0.3, 0.5, 0.7, 0.9):
+        for weight in (1.0, 2.0, 3.0):
+            want = [lower_quantile(np.arange(1, n + 1) * weight, alpha, n * weight) for n in size]
+            assert place_of(size, alpha, weight).tolist() == want
+
+
+@pytest.mark.parametrize("loss", ["quantile", "squared"])
+def test_a_deep_tree_is_split_a_level_at_a_time(monkeypatch, loss):
+    """Node by node the arrays were copied for each split, so the time grew with the square of the leaves."""
+    def one_by_one(*_):
+        raise AssertionError("a node was split alone")
+
+    monkeypatch.setattr(Tree, "split", one_by_one)
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 60, (4000, 4)).astype(np.uint8)
+    res, w, spec = rng.normal(0, 1, 4000), np.ones(4000), Spec(0.7, max_depth=20, loss=loss)
+    tree = grow_subtree(x, res, w, [60] * 4, spec, 0)
+    again, leaf = Growth(x, w, [60] * 4, spec).tree(res, 0)
+    assert (tree.left < 0).sum() > 1000
+    for name in ("feature", "cut", "left", "value", "gain", "count"):
+        assert np.array_equal(getattr(tree, name), getattr(again, name))
+    assert np.array_equal(leaf, tree.nodes_of(x))
+    for node in np.flatnonzero(tree.left < 0):
+        of = np.sort(res[leaf == node])
+        assert tree.value[node] == pytest.approx(of.mean() if loss == "squared" else lower(of, np.ones(len(of)), 0.7))
