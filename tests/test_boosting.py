@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from costlens.models import baselines as B
+from costlens.models import quantile_boost
 from costlens.models.quantile_boost import BoostBatch, QuantileBoostModel, bin_edges, fit_quantile_boost
 from costlens.models.tree_growth import (BigLeaf, Growth, Spec, Tree, from_sortable, grow_subtree, lower_quantile, place_of,
                                          quantile_of, sortable)
@@ -226,3 +227,28 @@ def test_a_deep_tree_is_split_a_level_at_a_time(monkeypatch, loss):
     for node in np.flatnonzero(tree.left < 0):
         of = np.sort(res[leaf == node])
         assert tree.value[node] == pytest.approx(of.mean() if loss == "squared" else lower(of, np.ones(len(of)), 0.7))
+
+
+def test_whole_models_send_few_bytes_of_trees_a_job(spark, monkeypatch):
+    """Deep trees went through the driver for all rounds at once, and searches kept them there."""
+    _, df = table(spark, 600)
+    specs = [Spec(0.5, 6, 12), Spec(0.5, 6, 2, fold=1), Spec(0.5, 3, 12, loss="squared")]
+    got, sent = [], []
+    grow = BoostBatch._grow_models
+
+    def noted(self, chosen, first, end):
+        size = grow(self, chosen, first, end)
+        sent.append(sum(size[m] * (min(end, specs[m].n_estimators) - first) for m in chosen))
+        return size
+
+    monkeypatch.setattr(BoostBatch, "_grow_models", noted)
+    for most, keep in ((1 << 28, True), (60_000, False)):
+        monkeypatch.setattr(quantile_boost, "TREE_BYTES_A_JOB", most)
+        b = BoostBatch(df, FEATURES, "y", specs, ["id"], "fold", max_bins=16, keep_trees=keep)
+        sent.clear()
+        b.advance(6)
+        got.append([r["pred"] for r in b.predictions().orderBy("id").collect()])
+        assert [len(m.trees) for m in b.models] == ([6, 6, 3] if keep else [0, 0, 0])
+        b.close()
+    assert len(sent) > 1 and max(sent) <= 60_000
+    assert np.allclose(got[0], got[1])
