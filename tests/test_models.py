@@ -106,3 +106,28 @@ def test_linear_quantiles_in_one_pass_converge(spark, tmp_dir):
     import pytest
     with pytest.warns(UserWarning):
         assert not fit_linear_quantile(df, ["x1", "x2"], "y", 0.9, max_iter=2).converged
+
+
+def test_linear_quantiles_of_groups_equal_separate_fits_in_fewer_passes(spark, monkeypatch):
+    """The folds were fitted one after the other, each with all its passes over the rows."""
+    from costlens.models import crossval as V
+    from costlens.models import quantile_linear as Q
+
+    rng = np.random.default_rng(8)
+    n = 900
+    d = pd.DataFrame({"x1": rng.uniform(0, 10, n), "x2": rng.integers(0, 2, n), "fold": rng.integers(0, 3, n), "y_true": 0.0})
+    d["y_pred"] = 5 * d.x1 + rng.normal(0, 1, n) * (1 + d.fold)
+    d["y_true"] = d.y_pred + 3 * d.x2 + rng.normal(0, 1, n) * (1 + d.x1)
+    d["split"] = np.where(rng.uniform(size=n) < 0.7, "train", "test")
+    df = spark.createDataFrame(d).withColumn("res", F.col("y_true") - F.col("y_pred")).cache()
+    got = Q.fit_linear_quantiles_by(df, "fold", [0, 1, 2, 7], ["x1", "x2"], "res", [0.1, 0.9])
+    for f in range(3):
+        for one, m in zip(Q.fit_linear_quantiles(df.where(F.col("fold") == f), ["x1", "x2"], "res", [0.1, 0.9]), got[f]):
+            assert np.allclose([one.intercept, *one.coef], [m.intercept, *m.coef]) and one.converged == m.converged
+    assert all(np.isnan(m.intercept) for m in got[7])
+
+    fits = []
+    by = V.fit_linear_quantiles_by
+    monkeypatch.setattr(V, "fit_linear_quantiles_by", lambda *a, **k: fits.append(a[2]) or by(*a, **k))
+    rows = {(r["fold"], r["split"]): r for r in V.residual_intervals(df.drop("res"), ["x1", "x2"]).collect()}
+    assert fits == [[0, 1, 2]] and set(rows) == {(f, s) for f in range(3) for s in ("train", "test")}
