@@ -151,6 +151,36 @@ def test_band_on_real_areas(spark):
         assert band_topk_mean(mid, row, "r", "a", "cost", "t", "id").first().neighbour_mean == n - 5.5
 
 
+def test_band_reads_no_rows_per_query(spark, monkeypatch):
+    # 4,000 queries whose bands span hundreds of cells of their own: what the tasks read grows with the rows, not with rows x blocks
+    import numpy as np
+    import pandas as pd
+
+    from costlens.operators import neighbours as N
+
+    rng = np.random.default_rng(5)
+    n, read = 4000, []
+    d = pd.DataFrame({"r": rng.integers(1, 4, n).astype(float), "a": rng.permutation(n) * 0.05, "cost": rng.normal(50, 9, n),
+                      "t": rng.integers(0, 500, n), "id": np.arange(n)})
+    df = spark.createDataFrame(d)
+    made = N.bundle_rows
+
+    def counted(*args):
+        out = made(*args)
+        read.append(out.groupBy("kind").count().collect())
+        return out
+
+    monkeypatch.setattr(N, "bundle_rows", counted)
+    monkeypatch.setattr(N, "BUNDLE", 1 << 9)  # several bundles with cells between their fringes
+    got = band_topk_mean(df, df, "r", "a", "cost", "t", "id").collect()
+    kinds = {x["kind"]: x["count"] for x in read[0]}
+    assert kinds[N._ASK] <= 3 * n and kinds[N._BASE] > 0 and kinds[N._FRINGE] + kinds[N._BASE] < 10 * n
+    r, a, cost, order = d.r.to_numpy(), d.a.to_numpy(), d.cost.to_numpy(), np.lexsort((d.id, -d.t))
+    for x in got[::37]:
+        near = order[((np.abs(r - x.r) <= 1) & (np.abs(a - x.a) <= 50))[order]]
+        assert abs(x.neighbour_mean - cost[near[:10]].mean()) < 1e-9
+
+
 def test_blocks_cover_an_interval(spark):
     rows = [(lo, hi) for lo in range(0, 40) for hi in range(lo, 70, 3)] + [(5, 1_000_000), (0, 1 << 20)]
     df = spark.createDataFrame(rows, "lo long, hi long").select("lo", "hi", block_cover(F.col("lo"), F.col("hi"), 11).alias("c"))
