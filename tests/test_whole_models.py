@@ -82,3 +82,35 @@ def test_a_model_of_six_times_the_rows_of_a_node_is_grown_by_one_task(spark, mon
     assert rounds == [(99, 0), (99, 1), (99, 2), (99, 3)]
     for s, t in zip(one.models[0].trees, spread.models[0].trees):
         assert sorted(s.value) == sorted(t.value)
+
+
+@pytest.mark.parametrize("weights", [(1.0,), (3.0,), (1.0, 2.0)])
+@pytest.mark.parametrize("spec", [Spec(0.1, 9, 10, 20, 10, 0.1), Spec(0.9, 9, 6, 1, 3000, 0.2), Spec(0.5, 9, 3, 64, 2, 0.1, None, 2)])
+def test_large_nodes_parted_by_themselves_give_the_same_trees(spec, weights):
+    x, y, bins = rows(20_000)
+    w = np.random.default_rng(2).choice(weights, len(y))
+    pred = np.full(len(y), y.mean())
+    for r, tree in enumerate(grow_rounds(x, y, pred, w, bins, spec, 0, 4)):
+        want = grow_subtree(x, y - pred, w, bins, spec, r)
+        pred = pred + spec.learning_rate * want.value[want.nodes_of(x)]
+        assert all((getattr(tree, f) == getattr(want, f)).all() for f, _ in Tree.FIELDS)
+
+
+def test_a_node_of_many_rows_is_counted_by_itself(monkeypatch):
+    """Before, each level looked up the node of every row that was left; now only nodes of few rows do so."""
+    x, y, bins = rows(60_000)
+    asked = []
+    cells = Growth._cells
+    monkeypatch.setattr(Growth, "_cells", lambda self, at, node, state, n: (asked.append((len(x) if at is None else len(at), n)), cells(
+        self, at, node, state, n))[1])
+    grow_rounds(x, y, np.zeros(len(y)), np.ones(len(y)), bins, Spec(0.5, 1, 3, 5, 2, 0.1), 0, 1)
+    assert len(asked) >= 3 and all(n == 1 for size, n in asked if size > 3 * 4096)
+
+
+def test_a_batch_of_rows_is_not_scored_by_the_models_of_other_groups(spark):
+    d = pd.DataFrame({"a": np.arange(300.0) % 37, "g": np.arange(300) // 100, "y": np.arange(300.0)})
+    batch = BoostBatch(spark.createDataFrame(d).repartition(1), ["a"], "y", [Spec(0.5, 3, 2, group=g) for g in range(3)], ["a", "g"], group_col="g")
+    batch.advance(3)
+    for r in batch.predictions().collect():
+        assert np.isclose(r["pred"][0], batch.models[r["g"]].predict_numpy(np.array([[r["a"]]]))[0])
+    batch.close()
